@@ -1,0 +1,5 @@
+"""No streams: every job is a batch.
+
+Late rows are handled by the two date axes of :mod:`ledgerloom.sources.movements`
+(business date up to the as-of date, arrival date up to a later date).
+"""
