@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
@@ -51,6 +51,30 @@ def open_accounts(accounts: DataFrame, odate: str, columns: tuple[str, ...] = AC
     return newest.where(F.col("contract_status_type") != CLOSED).select(*columns)
 
 
+def newest_copies(
+    df: DataFrame,
+    key: str,
+    version: str,
+    counted: Column | None = None,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """How many rows the newest version of each key has: ``key, *carry, copies``.
+
+    The summary of :func:`newest_versions` for joins that only filter and repeat the
+    other side.  It is built from aggregations alone, which all start on the map
+    side.  ``counted`` restricts the rows that count without changing which version
+    is the newest; keys left with none drop out.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(version).isNotNull())
+    tally = F.count_if(counted) if counted is not None else F.count("*")
+    per_version = rows.groupBy(key, version, *carry).agg(tally.alias("copies"))
+    if carry:
+        newest = newest_versions(per_version, [key], version).select(key, *carry, "copies")
+    else:
+        newest = per_version.groupBy(key).agg(F.max_by("copies", version).alias("copies"))
+    return newest.where(F.col("copies") > 0)
+
+
 def open_account_copies(
     accounts: DataFrame, odate: str, carry: tuple[str, ...] = (), dedupe: bool = False
 ) -> DataFrame:
@@ -59,22 +83,11 @@ def open_account_copies(
     Joining movements to the open accounts only filters them and repeats a
     movement once per tied version.  The count says the same in one row per
     account, so that movements can be summed before they meet the accounts.
-    Two aggregations do it; the second sees one row per account and cutoff, which
-    bounds what a single account can send to one task.  ``dedupe=True`` counts a
-    tied account once.
+    ``dedupe=True`` counts a tied account once.
     """
-    per_version = (
-        accounts.where(F.col("cutoff_date") <= as_date(odate))
-        .where(F.col("account_id").isNotNull())
-        .groupBy("account_id", "cutoff_date", *carry)
-        .agg(F.count_if(F.col("contract_status_type") != CLOSED).alias("copies"))
-    )
-    by_account = Window.partitionBy("account_id")
-    newest = (
-        per_version.withColumn("_newest", F.max("cutoff_date").over(by_account))
-        .where((F.col("cutoff_date") == F.col("_newest")) & (F.col("copies") > 0))
-        .select("account_id", *carry, "copies")
-    )
+    bounded = accounts.where(F.col("cutoff_date") <= as_date(odate))
+    still_open = F.col("contract_status_type") != CLOSED
+    newest = newest_copies(bounded, "account_id", "cutoff_date", still_open, carry)
     return newest.withColumn("copies", F.lit(1).cast("bigint")) if dedupe else newest
 
 

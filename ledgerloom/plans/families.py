@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.keys import joined_key, money
 from ledgerloom.operators.concepts import ConceptFamily
 from ledgerloom.operators.lookups import convert_currency
-from ledgerloom.operators.snapshots import newest_versions
+from ledgerloom.operators.snapshots import newest_copies, newest_versions
 
 # Concept codes and keys of each family, from detail code to subtotal
 # key and from product (or detail code) to total key.
@@ -204,20 +204,43 @@ def dom(movements: DataFrame, issuances: DataFrame) -> Source:
         name="DOM",
         account="source_account_id",
         key=joined_key(F.lit("DOM"), way, channel),
-        amount=-F.col("debit_amount"),
-        operations=F.col("issued_receipt_number"),
+        amount=-F.col("debited"),
+        operations=F.col("receipts"),
         subtotals=DOM_SUBTOTALS,
         totals=DOM_TOTALS,
     )
-    return join_issuances(movements, issuances), family
+    return debits_by_issuance(movements, issuances), family
 
 
 def join_issuances(movements: DataFrame, issuances: DataFrame) -> DataFrame:
-    """Debit movements with account and channel of their newest issuance."""
+    """Debit movements, row by row, with account and channel of their newest issuance."""
     newest = newest_versions(issuances, ["issuing_id"], "load_date").drop("load_date")
     return movements.join(newest, "issuing_id", "inner")
 
 
+def debits_by_issuance(movements: DataFrame, issuances: DataFrame) -> DataFrame:
+    """The sums of :func:`join_issuances` per issuance, account and channel.
+
+    Debits are summed per issuance and tied issuances are counted before the two
+    meet, so an issuance with very many debits is one row in the join.
+    """
+    sums = movements.groupBy("issuing_id").agg(
+        F.sum("debit_amount").alias("debited"),
+        F.sum("issued_receipt_number").alias("receipts"),
+    )
+    copies = newest_copies(
+        issuances, "issuing_id", "load_date", carry=("source_account_id", "source_channel_id")
+    )
+    return sums.join(copies, "issuing_id", "inner").select(
+        "source_account_id",
+        "source_channel_id",
+        (
+            F.col("debited").cast("decimal(23,8)") * F.col("copies").cast("decimal(14,0)")
+        ).alias("debited"),
+        (F.col("receipts") * F.col("copies")).alias("receipts"),
+    )
+
+
 def h2h(movements: DataFrame, rates: DataFrame) -> Source:
     """Host-to-host by the service's last four characters; the sum is rounded."""
     family = ConceptFamily(
