@@ -13,12 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
 from ledgerloom.functions.keys import MONEY, flipped_if, money, padded_account, two_digit
-from ledgerloom.operators.lookups import broadcast_if_small, with_concept
+from ledgerloom.operators.lookups import broadcast_if_small, fits_broadcast, with_concept
 from ledgerloom.operators.snapshots import catalogue_of, coded_concepts, open_account_copies
 
 AMOUNT_SUFFIX = "IMP"
@@ -112,126 +112,125 @@ def amount_and_count_rows(sums: DataFrame) -> DataFrame:
     return sums.select("family", "account_id", "account_key", F.inline(pair))
 
 
-def _constant_rows(like: DataFrame, rows: list[tuple[str, ...]], names: tuple[str, ...]) -> DataFrame:
-    quoted = [
-        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows
+def _levels_of_code(families: list[ConceptFamily]) -> Column:
+    """For a detail code, the subtotal and code-based total concepts it adds to."""
+
+    def entry(family: str, level: str, group: str, target: str) -> Column:
+        return F.struct(
+            F.lit(family).alias("family"),
+            F.lit(level).alias("level"),
+            F.lit(group).alias("group_id"),
+            F.lit(target).alias("target_key"),
+        )
+
+    found: dict[str, list[Column]] = {}
+    for f in families:
+        for code, key in f.subtotals.items():
+            found.setdefault(code, []).append(entry(f.name, "subtotal", code, key))
+        if f.total_by == "code":
+            for code, key in f.totals.items():
+                if code in f.subtotals:
+                    found.setdefault(code, []).append(entry(f.name, "total", key, key))
+    pairs = [c for code, entries in found.items() for c in (F.lit(code), F.array(*entries))]
+    return F.try_element_at(F.create_map(*pairs), F.col("data_code_id"))
+
+
+def _total_of_product(families: list[ConceptFamily]) -> Column:
+    """Total concept key for ``family`` and ``product``; null when it has none."""
+    pairs = [
+        F.lit(text)
+        for f in families
+        if f.total_by == "product"
+        for product, key in f.totals.items()
+        for text in (f"{f.name}|{product}", key)
     ]
-    return like.sparkSession.sql(
-        f"SELECT * FROM VALUES {', '.join(quoted)} AS t({', '.join(names)})"
-    )
+    if not pairs:
+        return F.lit(None).cast("string")
+    return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", "family", "product"))
 
 
-def level_map(catalogue: DataFrame, families: list[ConceptFamily]) -> DataFrame:
+def level_map(
+    catalogue: DataFrame, families: list[ConceptFamily], small: bool | None = None
+) -> DataFrame:
     """For each family and detail key, the concept rows it adds to.
 
     Columns ``family, primary_key_type, level, group_id, target_key, weight``.
     ``group_id`` is what the level is grouped by, ``target_key`` the concept it
     becomes and ``weight`` how often the key counts (more than once only where the
-    catalogue repeats a key).  Only the catalogue is read.
+    catalogue repeats a key).  Only the catalogue is read, and per key there are no
+    more rows than families, codes and products.
     """
-    concepts = catalogue.select(*_CATALOGUE).where(F.col("primary_key_type").isNotNull())
-    names = F.array(*[F.lit(f.name) for f in families])
-    subs = _constant_rows(
-        catalogue,
-        [(f.name, code, key) for f in families for code, key in f.subtotals.items()],
-        ("family", "data_code_id", "sub_key"),
-    )
-    by_product = [f for f in families if f.total_by == "product"]
-    by_code = [f for f in families if f.total_by == "code"]
-    levels = ("family", "primary_key_type", "level", "group_id", "target_key")
-
-    def counted(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*levels).agg(F.count("*").alias("weight"))
-
+    concepts = catalogue.select(
+        "primary_key_type", "data_code_id", "commercial_product_type"
+    ).where(F.col("primary_key_type").isNotNull())
+    key = F.col("primary_key_type")
     # The detail concept stands for itself whatever the family.
-    details = (
-        concepts.select("primary_key_type")
-        .distinct()
+    itself = F.array(
+        *[
+            F.struct(
+                F.lit(f.name).alias("family"),
+                F.lit("detail").alias("level"),
+                key.alias("group_id"),
+                key.alias("target_key"),
+            )
+            for f in families
+        ]
+    )
+    upper = _levels_of_code(families)
+    levels = F.when(upper.isNull(), itself).otherwise(F.concat(itself, upper))
+    direct = concepts.select("primary_key_type", F.inline(levels))
+    # A subtotal leads on to the total of its own concept's product.
+    products = concepts.select(
+        key.alias("sub_key"), F.col("commercial_product_type").alias("product")
+    ).where(F.col("product").isNotNull())
+    totals = (
+        direct.where(F.col("level") == "subtotal")
+        .join(broadcast_if_small(products, small), F.col("target_key") == F.col("sub_key"))
         .select(
-            F.explode(names).alias("family"),
             "primary_key_type",
-            F.lit("detail").alias("level"),
-            F.col("primary_key_type").alias("group_id"),
-            F.col("primary_key_type").alias("target_key"),
-            F.lit(1).cast("bigint").alias("weight"),
-        )
-    )
-    to_sub = concepts.select("primary_key_type", "data_code_id").join(
-        F.broadcast(subs), "data_code_id"
-    )
-    subtotals = counted(
-        to_sub.select(
             "family",
-            "primary_key_type",
-            F.lit("subtotal").alias("level"),
-            F.col("data_code_id").alias("group_id"),
-            F.col("sub_key").alias("target_key"),
+            F.lit("total").alias("level"),
+            F.col("product").alias("group_id"),
+            _total_of_product(families).alias("target_key"),
         )
+        .where(F.col("target_key").isNotNull())
+    )
+    return (
+        direct.unionByName(totals)
+        .groupBy("family", "primary_key_type", "level", "group_id", "target_key")
+        .agg(F.count("*").alias("found"))
+        .withColumn("weight", F.when(F.col("level") == "detail", F.lit(1)).otherwise(F.col("found")))
+        .drop("found")
     )
-    parts = [details, subtotals]
-    if by_product:
-        totals = _constant_rows(
-            catalogue,
-            [(f.name, p, key) for f in by_product for p, key in f.totals.items()],
-            ("family", "total_product", "total_key"),
-        )
-        products = concepts.select(
-            F.col("primary_key_type").alias("sub_key"),
-            F.col("commercial_product_type").alias("total_product"),
-        )
-        parts.append(
-            counted(
-                to_sub.join(broadcast_if_small(products), "sub_key")
-                .join(F.broadcast(totals), ["family", "total_product"])
-                .select(
-                    "family",
-                    "primary_key_type",
-                    F.lit("total").alias("level"),
-                    F.col("total_product").alias("group_id"),
-                    F.col("total_key").alias("target_key"),
-                )
-            )
-        )
-    if by_code:
-        totals = _constant_rows(
-            catalogue,
-            [(f.name, code, key) for f in by_code for code, key in f.totals.items()],
-            ("family", "data_code_id", "total_key"),
-        )
-        parts.append(
-            counted(
-                to_sub.join(F.broadcast(totals), ["family", "data_code_id"]).select(
-                    "family",
-                    "primary_key_type",
-                    F.lit("total").alias("level"),
-                    F.col("total_key").alias("group_id"),
-                    F.col("total_key").alias("target_key"),
-                )
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
 
 
 def concept_rows(catalogue: DataFrame) -> DataFrame:
     """The output columns of each concept, with its number of catalogue rows."""
     concepts = catalogue.select(*_CATALOGUE).where(F.col("primary_key_type").isNotNull())
-    repeats = concepts.groupBy(F.col("primary_key_type").alias("target_key")).agg(
-        F.count("*").alias("repeats")
-    )
-    return concepts.withColumnRenamed("primary_key_type", "target_key").join(
-        broadcast_if_small(repeats), "target_key"
+    same_key = Window.partitionBy("primary_key_type")
+    return concepts.withColumn("repeats", F.count("*").over(same_key)).withColumnRenamed(
+        "primary_key_type", "target_key"
     )
 
 
-def roll_up(detail: DataFrame, catalogue: DataFrame, families: list[ConceptFamily], odate: str) -> DataFrame:
+def roll_up(
+    detail: DataFrame,
+    catalogue: DataFrame,
+    families: list[ConceptFamily],
+    odate: str,
+    small: bool | None = None,
+) -> DataFrame:
     """Detail rows (:func:`amount_and_count_rows`) to fact rows of all three levels.
 
-    Both catalogue joins are broadcast after their size check.  The only grouping
-    is by account, level and concept; after :func:`keep_open_accounts` the rows are
+    Both catalogue joins are broadcast when the catalogue is small: what is derived
+    from it has a fixed number of rows per catalogue row.  The only grouping is by
+    account, level and concept; after :func:`keep_open_accounts` the rows are
     already spread by account, so it needs no further shuffle.
     """
+    if small is None:
+        small = fits_broadcast(catalogue)
     by_code = [f.name for f in families if f.total_by == "code"]
-    levels = broadcast_if_small(level_map(catalogue, families))
+    levels = broadcast_if_small(level_map(catalogue, families, small), small)
     summed = (
         detail.join(levels, ["family", "primary_key_type"])
         .groupBy("account_key", "account_id", "family", "level", "group_id", "target_key")
@@ -241,7 +240,7 @@ def roll_up(detail: DataFrame, catalogue: DataFrame, families: list[ConceptFamil
             )
         )
     )
-    out = summed.join(broadcast_if_small(concept_rows(catalogue)), "target_key")
+    out = summed.join(broadcast_if_small(concept_rows(catalogue), small), "target_key")
     # A concept listed twice repeats the row once per listing and lookup.
     single = (F.col("level") != "detail") & F.col("family").isin(*by_code) if by_code else F.lit(False)
     times = F.when(single, F.lit(1)).otherwise(F.col("repeats").cast("int"))
@@ -263,13 +262,14 @@ def concept_rollup(
     catalogue: DataFrame,
     odate: str,
     dedupe_accounts: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Fact rows of one or many families; accounts and catalogue are joined once."""
     copies = open_account_copies(accounts, odate, dedupe=dedupe_accounts)
     families = list({f.name: f for _, f in sources}.values())
     sums = reduce(DataFrame.unionByName, [detail_sums(m, f) for m, f in sources])
     detail = amount_and_count_rows(keep_open_accounts(sums, copies))
-    return roll_up(detail, catalogue, families, odate)
+    return roll_up(detail, catalogue, families, odate, small)
 
 
 def _fact(grouped: DataFrame, account: str, odate: str) -> DataFrame:
@@ -289,7 +289,13 @@ def _fact(grouped: DataFrame, account: str, odate: str) -> DataFrame:
     )
 
 
-def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
+def signed_movements(
+    movements: DataFrame,
+    accounts: DataFrame,
+    catalogue: DataFrame,
+    odate: str,
+    small: bool | None = None,
+) -> DataFrame:
     """General movements (B40W) with the catalogue's sign, at their own fine grain.
 
     A plus sign in the catalogue turns the amount negative.  Amounts stay in their
@@ -320,6 +326,7 @@ def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataF
         "sign_type",
         F.col("commercial_product_type").alias("product_cat"),
         F.col("commercial_subproduct_type").alias("subproduct_cat"),
+        small=small,
     )
     signed = flipped_if(F.col("sign_type") == "+", "amount").cast("decimal(23,8)")
     grouped = coded.groupBy(
@@ -337,7 +344,12 @@ def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataF
 
 
 def _commission_facts(
-    sums: DataFrame, account_key: Column, accounts: DataFrame, catalogue: DataFrame, odate: str
+    sums: DataFrame,
+    account_key: Column,
+    accounts: DataFrame,
+    catalogue: DataFrame,
+    odate: str,
+    small: bool | None,
 ) -> DataFrame:
     copies = open_account_copies(accounts, odate)
     held = sums.withColumn("account_key", account_key).join(
@@ -351,6 +363,7 @@ def _commission_facts(
         "sender_application_id",
         F.col("commercial_product_type").alias("product_cat"),
         F.col("commercial_subproduct_type").alias("subproduct_cat"),
+        small=small,
     )
     grouped = coded.groupBy(
         "account_key",
@@ -373,18 +386,31 @@ def _commission_sums(movements: DataFrame) -> DataFrame:
     )
 
 
-def commission_concepts(movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
+def commission_concepts(
+    movements: DataFrame,
+    accounts: DataFrame,
+    catalogue: DataFrame,
+    odate: str,
+    small: bool | None = None,
+) -> DataFrame:
     """Commissions (SICOCO) per account and concept."""
     return _commission_facts(
-        _commission_sums(movements), F.col("commission_account_id"), accounts, catalogue, odate
+        _commission_sums(movements), F.col("commission_account_id"), accounts, catalogue, odate, small
     )
 
 
-def branch_commission_concepts(movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
+def branch_commission_concepts(
+    movements: DataFrame,
+    accounts: DataFrame,
+    catalogue: DataFrame,
+    odate: str,
+    small: bool | None = None,
+) -> DataFrame:
     """Commissions (SICOCO5): the padded number finds the account, the plain one is kept."""
     keyed = movements.withColumn(
         "concept_key", F.concat(F.lit("SICCOBR5"), two_digit("card_service_type"))
     )
+    account_key = padded_account("commission_account_id")
     return _commission_facts(
-        _commission_sums(keyed), padded_account("commission_account_id"), accounts, catalogue, odate
+        _commission_sums(keyed), account_key, accounts, catalogue, odate, small
     )

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOOKUP_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """The frame marked for broadcast, but only when it has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> bool:
+    """Whether the frame has at most ``max_rows`` rows; one bounded job counts them."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    One bounded job counts up to ``max_rows + 1`` rows.  A larger frame comes back
-    unmarked: the join is then a shuffle join whose skewed partitions adaptive
-    execution splits, whatever share of the rows one key holds.
+
+def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """The frame marked for broadcast, but only when it is small.
+
+    ``small`` is the answer of an earlier :func:`fits_broadcast` on the same table;
+    without it the check runs here.  A larger frame comes back unmarked: the join is
+    then a shuffle join whose skewed partitions adaptive execution splits, whatever
+    share of the rows one key holds.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if small is None:
+        small = fits_broadcast(df)
+    return F.broadcast(df) if small else df
 
 
 def convert_currency(
@@ -25,11 +33,13 @@ def convert_currency(
     business_date: str,
     trim_currency: bool = False,
     how: str = "inner",
+    small: bool | None = None,
 ) -> DataFrame:
     """Adds ``exchange_rate``: the rate of the row's currency on its business date.
 
     A movement without a rate is dropped, whatever its currency; ``how="left_anti"``
-    gives exactly those dropped rows instead.
+    gives exactly those dropped rows instead.  ``small``: see
+    :func:`broadcast_if_small`.
     """
     lookup = rates.select(
         F.col("currency_id").alias("rate_currency"),
@@ -38,14 +48,20 @@ def convert_currency(
     )
     code = F.trim(currency) if trim_currency else F.col(currency)
     joined = movements.join(
-        broadcast_if_small(lookup),
+        broadcast_if_small(lookup, small),
         (code == F.col("rate_currency")) & (F.col(business_date) == F.col("rate_date")),
         how,
     )
     return joined if how == "left_anti" else joined.drop("rate_currency", "rate_date")
 
 
-def with_concept(rows: DataFrame, catalogue: DataFrame, key: str, *columns: str) -> DataFrame:
+def with_concept(
+    rows: DataFrame,
+    catalogue: DataFrame,
+    key: str,
+    *columns: str | Column,
+    small: bool | None = None,
+) -> DataFrame:
     """Catalogue columns of the concept whose key equals ``key``; unmatched rows drop."""
     wanted = columns or (
         "data_code_id",
@@ -55,7 +71,7 @@ def with_concept(rows: DataFrame, catalogue: DataFrame, key: str, *columns: str)
     )
     lookup = catalogue.select(F.col("primary_key_type").alias("catalogue_key"), *wanted)
     return rows.join(
-        broadcast_if_small(lookup), F.col(key) == F.col("catalogue_key"), "inner"
+        broadcast_if_small(lookup, small), F.col(key) == F.col("catalogue_key"), "inner"
     ).drop("catalogue_key")
 
 

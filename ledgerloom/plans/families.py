@@ -89,7 +89,7 @@ DEM_DEPOSITS = ("4", "5", "6")
 Source = tuple[DataFrame, ConceptFamily]
 
 
-def sit(movements: DataFrame, rates: DataFrame) -> Source:
+def sit(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
     """Transfers by sending application; each row is rounded after conversion."""
     family = ConceptFamily(
         name="SIT",
@@ -100,11 +100,13 @@ def sit(movements: DataFrame, rates: DataFrame) -> Source:
         subtotals=SIT_SUBTOTALS,
         totals=SIT_TOTALS,
     )
-    valued = convert_currency(movements, rates, "operation_currency_id", "sit_transaction_date")
+    valued = convert_currency(
+        movements, rates, "operation_currency_id", "sit_transaction_date", small=small
+    )
     return valued, family
 
 
-def cie(movements: DataFrame, rates: DataFrame) -> Source:
+def cie(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
     """Collections by channel; the amount is rounded before and after conversion."""
     family = ConceptFamily(
         name="CIE",
@@ -116,7 +118,7 @@ def cie(movements: DataFrame, rates: DataFrame) -> Source:
         totals=CIE_TOTALS,
     )
     valued = convert_currency(
-        movements, rates, "currency_id", "transaction_date", trim_currency=True
+        movements, rates, "currency_id", "transaction_date", trim_currency=True, small=small
     )
     return valued, family
 
@@ -132,7 +134,9 @@ def _cheque_case(kind: Column, choices: list[tuple[str, tuple[str, ...], Column]
     return reduce(lambda acc, c: acc.when(kind.isin(*c[1]), pair(c[0], c[2])), rest, start)
 
 
-def tib_dem(cheques: DataFrame, deposits: DataFrame, rates: DataFrame) -> Source:
+def tib_dem(
+    cheques: DataFrame, deposits: DataFrame, rates: DataFrame, small: bool | None = None
+) -> Source:
     """Cheques and deposits.  Each type belongs to one prefix and counts one amount.
 
     The filter trims the type but the key keeps it as it is, so a padded type finds
@@ -152,7 +156,7 @@ def tib_dem(cheques: DataFrame, deposits: DataFrame, rates: DataFrame) -> Source
 
     def valued(rows: DataFrame, choices: list) -> DataFrame:
         return (
-            convert_currency(rows, rates, "currency_id", "transfer_debit_date")
+            convert_currency(rows, rates, "currency_id", "transfer_debit_date", small=small)
             .withColumn("_case", _cheque_case(kind, choices))
             .where(F.col("_case").isNotNull())
             .select(
@@ -241,7 +245,7 @@ def debits_by_issuance(movements: DataFrame, issuances: DataFrame) -> DataFrame:
     )
 
 
-def h2h(movements: DataFrame, rates: DataFrame) -> Source:
+def h2h(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
     """Host-to-host by the service's last four characters; the sum is rounded."""
     family = ConceptFamily(
         name="H2H",
@@ -251,7 +255,9 @@ def h2h(movements: DataFrame, rates: DataFrame) -> Source:
         subtotals=H2H_SUBTOTALS,
         totals=H2H_TOTALS,
     )
-    valued = convert_currency(movements, rates, "operation_currency_type", "transaction_date")
+    valued = convert_currency(
+        movements, rates, "operation_currency_type", "transaction_date", small=small
+    )
     return valued, family
 
 

@@ -8,6 +8,7 @@ is written twice: as library calls in ``queries`` and as plain SQL in ``oracles`
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerloom.plans import families as f
 
@@ -259,9 +260,15 @@ def catalogue_sql() -> str:
 ROLES["catalogue"] = catalogue_sql()
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the test tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the test tables; its schema is read from the files only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
