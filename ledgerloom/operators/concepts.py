@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
@@ -204,11 +204,11 @@ def level_map(
     )
 
 
-def concept_rows(catalogue: DataFrame) -> DataFrame:
+def concept_rows(catalogue: DataFrame, small: bool | None = None) -> DataFrame:
     """The output columns of each concept, with its number of catalogue rows."""
     concepts = catalogue.select(*_CATALOGUE).where(F.col("primary_key_type").isNotNull())
-    same_key = Window.partitionBy("primary_key_type")
-    return concepts.withColumn("repeats", F.count("*").over(same_key)).withColumnRenamed(
+    repeats = concepts.groupBy("primary_key_type").agg(F.count("*").alias("repeats"))
+    return concepts.join(broadcast_if_small(repeats, small), "primary_key_type").withColumnRenamed(
         "primary_key_type", "target_key"
     )
 
@@ -240,7 +240,7 @@ def roll_up(
             )
         )
     )
-    out = summed.join(broadcast_if_small(concept_rows(catalogue), small), "target_key")
+    out = summed.join(broadcast_if_small(concept_rows(catalogue, small), small), "target_key")
     # A concept listed twice repeats the row once per listing and lookup.
     single = (F.col("level") != "detail") & F.col("family").isin(*by_code) if by_code else F.lit(False)
     times = F.when(single, F.lit(1)).otherwise(F.col("repeats").cast("int"))

@@ -119,3 +119,12 @@ def required_present(df: DataFrame, schema: T.StructType) -> list[str]:
     """Required schema columns that the frame lacks."""
     return [c for c in required_columns(schema) if c not in df.columns]
 
+
+def shape(df: DataFrame) -> tuple[int, int]:
+    """Number of rows and of columns."""
+    return df.count(), len(df.columns)
+
+
+def preview(df: DataFrame, rows: int = 4) -> DataFrame:
+    """The first rows as Spark meets them."""
+    return df.limit(rows)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
@@ -270,20 +270,27 @@ def acceptance(output: DataFrame, source: DataFrame, more_columns: bool = False)
     return counts.select(F.inline(checks))
 
 
-def files_per_directory(table: DataFrame, max_files: int = 100) -> DataFrame:
-    """Per partition directory: number of files, their size in MB, and the limit kept.
+def files_per_directory(
+    spark: SparkSession, path: str, max_files: int = 100, ending: str = "parquet"
+) -> DataFrame:
+    """Per partition directory: number of data files, their size in MB, the limit kept.
 
-    The frame must come straight from a file reader.
+    The binary-file source gives one row per file and, as the content is not asked
+    for, opens none of them; the table's rows are never scanned.
     """
-    files = table.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
-    ).distinct()
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*.{ending}")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+    )
     directory = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
     return (
-        files.groupBy(directory.alias("directory"))
+        listed.groupBy(directory.alias("directory"))
         .agg(
             F.count("*").alias("files"),
-            (F.sum("bytes") / F.lit(1024 * 1024)).alias("size_mb"),
+            (F.sum("length") / F.lit(1024 * 1024)).alias("size_mb"),
         )
         .withColumn("ok", F.col("files") < max_files)
     )

@@ -88,3 +88,32 @@ def closest(
     """
     scored = df.withColumn("score", SCORERS[scorer](text, question))
     return scored.orderBy(F.desc_nulls_last("score"), *(tie_break or [])).limit(top)
+
+
+def closest_each(
+    df: DataFrame,
+    text: str,
+    questions: list[str],
+    top: int = 10,
+    scorer: str = "ratio",
+    tie_break: list[str] | None = None,
+) -> DataFrame:
+    """:func:`closest` for several questions in one pass: adds ``question``, ``place``.
+
+    The questions are constants of the plan, so there is no join.  Asking for the
+    first places only lets each map task keep its own best rows per question.
+    """
+    scores = F.array(
+        *[
+            F.struct(F.lit(q).alias("question"), SCORERS[scorer](text, q).alias("score"))
+            for q in questions
+        ]
+    )
+    best = Window.partitionBy("question").orderBy(
+        F.desc_nulls_last("score"), *(tie_break or [])
+    )
+    return (
+        df.select("*", F.inline(scores))
+        .withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= top)
+    )

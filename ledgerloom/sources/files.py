@@ -109,3 +109,19 @@ def read_records(spark: SparkSession, paths: str | list[str], separator: str = "
 def partition_exists(df: DataFrame, column: str, value: object) -> bool:
     """Whether a partition holds rows; the scan is pruned to that directory."""
     return not df.where(F.col(column) == F.lit(value)).limit(1).isEmpty()
+
+
+def partitions_present(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """``value, present`` for each asked partition value, from one pruned scan."""
+    kind = df.schema[column].dataType
+    asked = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(v).cast(kind) for v in values])).alias("value")
+    )
+    found = (
+        df.where(F.col(column).isin(*[F.lit(v).cast(kind) for v in values]))
+        .select(F.col(column).alias("value"), F.lit(True).alias("found"))
+        .distinct()
+    )
+    return asked.join(found, "value", "left").select(
+        "value", F.coalesce("found", F.lit(False)).alias("present")
+    )

@@ -7,6 +7,7 @@ the library plans them.
 from __future__ import annotations
 
 from ledgerloom.plans import families as f
+from ledgerloom.workload.queries import QUESTION, QUESTIONS
 from ledgerloom.workload.roles import DATEM, MONTH_START, ODATE, ROLES
 
 MONTH = f"BETWEEN DATE '{MONTH_START}' AND DATE '{ODATE}'"
@@ -384,10 +385,17 @@ _LINES = """SELECT doc_id, unnest(range(len(parts))) AS position, unnest(parts)
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents) s"""
 
 
-def _text_question() -> str:
-    from ledgerloom.workload.queries import QUESTION
+_PLAIN_TALK = "SELECT conv_id, turn, regexp_replace(text, '[^ -~]', '?', 'g') AS text FROM conversations"
 
-    return QUESTION
+
+def _score(question: str) -> str:
+    return f"""1.0::DOUBLE - CAST(levenshtein(text, '{question}') AS DOUBLE)
+       / CAST(greatest(length(text), length('{question}')) AS DOUBLE)"""
+
+
+_EACH_SCORE = " UNION ALL ".join(
+    f"SELECT conv_id, turn, text, '{q}' AS question, {_score(q)} AS score FROM t" for q in QUESTIONS
+)
 
 
 ORACLES: dict[str, str] = {
@@ -516,8 +524,23 @@ SELECT doc_id, position, CASE WHEN len(pieces) = 2 THEN pieces[1] ELSE halves[1]
     "text_dedupe": f"""SELECT doc_id, text, source FROM (
 SELECT doc_id, text, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place
 FROM (SELECT doc_id, {_NORMAL} AS text, source FROM documents) n) d WHERE place = 1""",
-    "text_topk_levenshtein": f"""WITH t AS (SELECT conv_id, turn, regexp_replace(text, '[^ -~]', '?', 'g') AS text FROM conversations)
-SELECT conv_id, turn, text, 1.0::DOUBLE - CAST(levenshtein(text, '{_text_question()}') AS DOUBLE)
-       / CAST(greatest(length(text), length('{_text_question()}')) AS DOUBLE) AS score
+    "text_topk_levenshtein": f"""WITH t AS ({_PLAIN_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
 FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
+    "text_topk_each_question": f"""WITH t AS ({_PLAIN_TALK}), s AS ({_EACH_SCORE})
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS place FROM s) r
+WHERE place <= 5""",
+    "sink_overwrite_roundtrip": _REQUESTS,
+    "partition_presence": f"""SELECT v.value, EXISTS (SELECT 1 FROM ({_REQUESTS}) q WHERE q.load_date = v.value) AS present
+FROM (VALUES (DATE '{ODATE}'), (DATE '1990-01-31'), (DATE '2000-02-29')) AS v(value)""",
+    "csv_codes_roundtrip": """SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS code,
+       CAST(o_totalprice AS DECIMAL(17,2)) AS amount, o_orderkey AS order_number FROM orders""",
+    "padded_csv_roundtrip": f"SELECT request_id, status_type, load_date FROM ({_REQUESTS}) q",
+    "control_count_roundtrip": "SELECT count(*) AS expected FROM orders",
+    "record_file_split": """WITH r AS (SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS head, p_brand, p_type, p_size FROM part)
+SELECT head AS questions, CASE WHEN p_size > 30 THEN p_brand ELSE '' END AS options, p_type AS answers
+FROM r WHERE p_size > 10""",
+    "merged_files_deduped": """SELECT file_no, p_partkey, name FROM (
+SELECT *, row_number() OVER (PARTITION BY name ORDER BY file_no, p_partkey) AS place
+FROM (SELECT CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS file_no, p_partkey, lower(p_name) AS name FROM part) n) d
+WHERE place = 1""",
 }

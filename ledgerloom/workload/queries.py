@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import files
 from ledgerloom.sources import movements as read
-from ledgerloom.workload.roles import DATEM, MONTH_START, ODATE, role, roles, table
+from ledgerloom.workload.roles import DATEM, ODATE, role, roles, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -519,6 +519,95 @@ def conform_fact(spark, sf):
     return conform(shuffled, profit.as_fact(shuffled).schema)
 
 
+@query
+def sink_overwrite_roundtrip(spark, sf):
+    rows = _requests(spark, sf)
+    path = scratch_path(spark, "overwrite")
+    sinks.overwrite(rows.where("status_type = 'F'"), path)
+    sinks.overwrite(rows, path, files=2)
+    return files.read_zone(spark, path)
+
+
+@query
+def partition_presence(spark, sf):
+    return files.partitions_present(
+        _requests(spark, sf), "load_date", [ODATE, "1990-01-31", "2000-02-29"]
+    )
+
+
+@query
+def csv_codes_roundtrip(spark, sf):
+    """Codes with leading zeros, a byte-order mark, and one typed column."""
+    orders = table(spark, sf, "orders").select(
+        F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("code"),
+        F.col("o_totalprice").cast("decimal(17,2)").alias("amount"),
+        F.col("o_orderkey").alias("order_number"),
+    )
+    path = scratch_path(spark, "codes")
+    names = sinks.export_text(orders, path, "codes.csv", byte_order_mark=True)
+    return files.read_text_columns(
+        spark,
+        [f"{path}/{n}" for n in names],
+        types={"amount": "decimal(17,2)", "order_number": "bigint"},
+    )
+
+
+@query
+def padded_csv_roundtrip(spark, sf):
+    """Space-padded values and headers, nulls written as a word."""
+    padded = _requests(spark, sf).select(
+        F.lpad(F.col("request_id").cast("string"), 12, " ").alias("  request_id "),
+        F.rpad(F.coalesce("status_type", F.lit("null")), 8, " ").alias("status_type "),
+        F.lpad(F.col("load_date").cast("string"), 12, " ").alias(" load_date"),
+    )
+    path = scratch_path(spark, "padded")
+    padded.write.options(
+        sep="|", header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    schema = T.StructType.fromDDL("request_id int, status_type string, load_date date")
+    return files.read_padded(spark, path, schema)
+
+
+@query
+def control_count_roundtrip(spark, sf):
+    path = scratch_path(spark, "control")
+    counted = table(spark, sf, "orders").agg(F.count("*").cast("string").alias("n"))
+    counted.select(F.concat_ws("|", F.lit("orders"), F.lit(ODATE), "n").alias("value")).write.text(path)
+    return files.read_control(spark, path)
+
+
+def _record(name: str) -> Column:
+    answer = F.when(F.col("p_size") > 10, F.concat(F.lit("|"), "p_type")).otherwise(F.lit(""))
+    option = F.when(F.col("p_size") > 30, F.concat(F.lit("??"), "p_brand")).otherwise(F.lit(""))
+    return F.concat(name, F.lit(" "), F.col("p_partkey").cast("string"), option, answer)
+
+
+@query
+def record_file_split(spark, sf):
+    """Records of a text file with ``;`` between them."""
+    path = scratch_path(spark, "records")
+    table(spark, sf, "part").select(_record("p_name").alias("value")).write.option(
+        "lineSep", ";"
+    ).text(path)
+    return textmatch.split_questions(files.read_records(spark, path)).drop("file", "offset")
+
+
+@query
+def merged_files_deduped(spark, sf):
+    """Two exports read together; of equal names the first file's first row stays."""
+    base = scratch_path(spark, "merge")
+    part = table(spark, sf, "part")
+    shown = F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))
+    first = part.where("p_size <= 25").select(F.lit(1).alias("file_no"), "p_partkey", shown.alias("name"))
+    second = part.where("p_size > 25").select(F.lit(2).alias("file_no"), "p_partkey", F.col("p_name").alias("name"))
+    for number, rows in enumerate((first, second)):
+        rows.write.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{base}/{number}")
+    both = files.read_delimited(spark, [f"{base}/0", f"{base}/1"], first.schema)
+    return textmatch.dedupe_by_text(both, "name", "file_no", "p_partkey")
+
+
 # --- quality and profiles --------------------------------------------------
 
 
@@ -578,7 +667,7 @@ def dq_max_length(spark, sf):
 def dq_files_per_partition(spark, sf):
     path = scratch_path(spark, "files")
     sinks.append_partitioned(_requests(spark, sf), path, "load_date")
-    return quality.files_per_directory(files.read_zone(spark, path)).select("directory", "ok")
+    return quality.files_per_directory(spark, path).select("directory", "ok")
 
 
 def _mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -715,3 +804,13 @@ def text_topk_ratio(spark, sf):
     return textmatch.closest(
         table(spark, sf, "conversations"), "text", QUESTION, 10, "ratio", ["conv_id", "turn"]
     )
+
+
+QUESTIONS = [QUESTION, "What does the ander of the thering do", "Che la anda"]
+
+
+@query
+def text_topk_each_question(spark, sf):
+    return textmatch.closest_each(
+        _talk(spark, sf), "text", QUESTIONS, 5, "edits", ["conv_id", "turn"]
+    )
