@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,12 +78,20 @@ def replace_partition(
         .partitionBy(partition)
         .save(path)
     )
-    rows = seen.get["rows"]
+    rows = _observed(seen)
     if rows == 0:
         _delete(df.sparkSession, f"{path.rstrip('/')}/{partition}={value}")
     return rows
 
 
+def _observed(seen: Observation) -> int:
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        # The optimiser proved the frame empty and dropped the counter with it.
+        return 0
+
+
 def _hadoop(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
