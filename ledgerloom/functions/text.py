@@ -9,16 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Fixed value: every character that counts as white space at the ends of a text.
-SPACES = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# All characters that count as white space; none lies beyond the ideographic space.
+SPACES = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip_all(column: Column | str) -> Column:
     """Leading and trailing white space removed, line breaks included."""
-    return F.regexp_replace(column, rf"^{SPACES}+|{SPACES}+\z", "")
+    return F.trim(column, F.lit(SPACES))
 
 
 def normalised(column: Column | str) -> Column:

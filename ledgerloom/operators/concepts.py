@@ -229,6 +229,9 @@ def roll_up(
     """
     if small is None:
         small = fits_broadcast(catalogue)
+    if small:
+        # Within the bound a single partition spares the shuffles of the level map.
+        catalogue = catalogue.coalesce(1)
     by_code = [f.name for f in families if f.total_by == "code"]
     levels = broadcast_if_small(level_map(catalogue, families, small), small)
     summed = (

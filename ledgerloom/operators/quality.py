@@ -147,6 +147,14 @@ def length_rules(limits: dict[str, int], **thresholds: object) -> list[Rule]:
     return [MaxLength(column=c, limit=n, **thresholds) for c, n in limits.items()]
 
 
+def _expected(rule: Rule) -> Column:
+    """The other count as a scalar subquery (0 when there is none); null for row rules."""
+    other = rule.other()
+    if other is None:
+        return F.lit(None).cast("bigint")
+    return F.coalesce(other.agg(F.max("n")).scalar(), F.lit(0)).cast("bigint")
+
+
 def evaluate(df: DataFrame, rules: list[Rule], subset: str | None = None) -> DataFrame:
     """Report of all rules on the frame (or on its ``subset``)."""
     checked = df.where(F.expr(subset)) if subset else df
@@ -170,23 +178,12 @@ def evaluate(df: DataFrame, rules: list[Rule], subset: str | None = None) -> Dat
             (F.col(f"passed_{i}") if rule.ok() is not None else F.lit(None).cast("bigint")).alias(
                 "counted"
             ),
+            _expected(rule).alias("expected"),
         )
         for i, rule in enumerate(rules)
     ]
     lines = checked.agg(*counters).select(F.inline(F.array(*facts)))
 
-    expected = [
-        rule.other().select(F.lit(i).alias("rule_no"), F.col("n").alias("expected"))
-        for i, rule in enumerate(rules)
-        if rule.other() is not None
-    ]
-    if expected:
-        lines = lines.join(
-            F.broadcast(reduce(DataFrame.unionByName, expected)), "rule_no", "left"
-        )
-    else:
-        lines = lines.withColumn("expected", F.lit(None).cast("bigint"))
-
     # Two counts agree to the share of the smaller in the larger one.
     total = F.when(F.col("expected").isNotNull(), F.greatest("total", "expected")).otherwise(
         F.col("total")

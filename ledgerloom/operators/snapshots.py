@@ -100,11 +100,10 @@ def newest_date(df: DataFrame, column: str, as_of: str | None = None) -> DataFra
 def rows_at_newest(df: DataFrame, column: str, as_of: str | None = None) -> DataFrame:
     """Rows dated at the table's newest date, optionally bounded by ``as_of``.
 
-    The date is a one-row broadcast, so on a table partitioned by ``column`` the
-    scan is pruned at run time to that partition.
+    The date is a scalar subquery: it runs first, and the scan of a table
+    partitioned by ``column`` is pruned to that one partition.
     """
-    newest = newest_date(df, column, as_of).withColumnRenamed(column, "_newest")
-    return df.join(F.broadcast(newest), F.col(column) == F.col("_newest"), "inner").drop("_newest")
+    return df.where(F.col(column) == newest_date(df, column, as_of).scalar())
 
 
 def current_catalogue(catalogue: DataFrame, as_of: str | None = None) -> DataFrame:
