@@ -112,41 +112,44 @@ def amount_and_count_rows(sums: DataFrame) -> DataFrame:
     return sums.select("family", "account_id", "account_key", F.inline(pair))
 
 
-def _levels_of_code(families: list[ConceptFamily]) -> Column:
-    """For a detail code, the subtotal and code-based total concepts it adds to."""
-
-    def entry(family: str, level: str, group: str, target: str) -> Column:
-        return F.struct(
-            F.lit(family).alias("family"),
-            F.lit(level).alias("level"),
-            F.lit(group).alias("group_id"),
-            F.lit(target).alias("target_key"),
-        )
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _level(family: str, level: str, group: str, target: str) -> str:
+    """One level entry as SQL; ``group`` and ``target`` are SQL themselves."""
+    return (
+        f"named_struct('family', {_text(family)}, 'level', '{level}', "
+        f"'group_id', {group}, 'target_key', {target})"
+    )
 
-    found: dict[str, list[Column]] = {}
+
+def _levels_of_code(families: list[ConceptFamily]) -> str:
+    """For a detail code, the subtotal and code-based total concepts it adds to (SQL)."""
+    found: dict[str, list[str]] = {}
     for f in families:
         for code, key in f.subtotals.items():
-            found.setdefault(code, []).append(entry(f.name, "subtotal", code, key))
+            entry = _level(f.name, "subtotal", _text(code), _text(key))
+            found.setdefault(code, []).append(entry)
         if f.total_by == "code":
             for code, key in f.totals.items():
-                if code in f.subtotals:
-                    found.setdefault(code, []).append(entry(f.name, "total", key, key))
-    pairs = [c for code, entries in found.items() for c in (F.lit(code), F.array(*entries))]
-    return F.try_element_at(F.create_map(*pairs), F.col("data_code_id"))
+                entry = _level(f.name, "total", _text(key), _text(key))
+                found.setdefault(code, []).append(entry)
+    pairs = ", ".join(f"{_text(c)}, array({', '.join(entries)})" for c, entries in found.items())
+    return f"try_element_at(map({pairs}), data_code_id)"
 
 
-def _total_of_product(families: list[ConceptFamily]) -> Column:
-    """Total concept key for ``family`` and ``product``; null when it has none."""
-    pairs = [
-        F.lit(text)
+def _total_of_product(families: list[ConceptFamily]) -> str:
+    """Total concept key for ``family`` and ``product``; null when it has none (SQL)."""
+    pairs = ", ".join(
+        f"{_text(f.name + '|' + product)}, {_text(key)}"
         for f in families
         if f.total_by == "product"
         for product, key in f.totals.items()
-        for text in (f"{f.name}|{product}", key)
-    ]
+    )
     if not pairs:
-        return F.lit(None).cast("string")
-    return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", "family", "product"))
+        return "CAST(NULL AS STRING)"
+    return f"try_element_at(map({pairs}), concat_ws('|', family, product))"
 
 
 def level_map(
@@ -163,25 +166,19 @@ def level_map(
     concepts = catalogue.select(
         "primary_key_type", "data_code_id", "commercial_product_type"
     ).where(F.col("primary_key_type").isNotNull())
-    key = F.col("primary_key_type")
     # The detail concept stands for itself whatever the family.
-    itself = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("family"),
-                F.lit("detail").alias("level"),
-                key.alias("group_id"),
-                key.alias("target_key"),
-            )
-            for f in families
-        ]
+    itself = "array({})".format(
+        ", ".join(_level(f.name, "detail", "primary_key_type", "primary_key_type") for f in families)
     )
     upper = _levels_of_code(families)
-    levels = F.when(upper.isNull(), itself).otherwise(F.concat(itself, upper))
-    direct = concepts.select("primary_key_type", F.inline(levels))
+    direct = concepts.selectExpr(
+        "primary_key_type",
+        f"inline(CASE WHEN {upper} IS NULL THEN {itself} ELSE concat({itself}, {upper}) END)",
+    )
     # A subtotal leads on to the total of its own concept's product.
     products = concepts.select(
-        key.alias("sub_key"), F.col("commercial_product_type").alias("product")
+        F.col("primary_key_type").alias("sub_key"),
+        F.col("commercial_product_type").alias("product"),
     ).where(F.col("product").isNotNull())
     totals = (
         direct.where(F.col("level") == "subtotal")
@@ -191,7 +188,7 @@ def level_map(
             "family",
             F.lit("total").alias("level"),
             F.col("product").alias("group_id"),
-            _total_of_product(families).alias("target_key"),
+            F.expr(_total_of_product(families)).alias("target_key"),
         )
         .where(F.col("target_key").isNotNull())
     )
@@ -229,9 +226,6 @@ def roll_up(
     """
     if small is None:
         small = fits_broadcast(catalogue)
-    if small:
-        # Within the bound a single partition spares the shuffles of the level map.
-        catalogue = catalogue.coalesce(1)
     by_code = [f.name for f in families if f.total_by == "code"]
     levels = broadcast_if_small(level_map(catalogue, families, small), small)
     summed = (

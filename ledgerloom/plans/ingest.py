@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerloom.operators.lookups import join_filtered
@@ -19,6 +19,8 @@ from ledgerloom.operators.transforms import (
     trim_columns,
 )
 from ledgerloom.schemas import columns_of_format, conform
+from ledgerloom.sinks.tables import create, overwrite
+from ledgerloom.sources.files import read_delimited
 
 # Banking types of the exported branches and the exported columns.
 EXPORTED_BANKING = ("9047", "9105")
@@ -88,6 +90,23 @@ def raw_to_master(
     return conform(pipeline(raw, *steps), master_schema, check_nulls=False)
 
 
+def delimited_to_table(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    target: str,
+    partition: str,
+    sep: str = "|",
+    replace: bool = False,
+) -> None:
+    """Delimited files under a declared schema to a partitioned Parquet table.
+
+    An existing table is an error unless ``replace``.
+    """
+    write = overwrite if replace else create
+    write(read_delimited(spark, paths, schema, sep=sep), target, partition)
+
+
 def balance_export(balances: DataFrame, branches: DataFrame, gl_date: str, branch_cutoff: str) -> DataFrame:
     """Balances of one accounting date at the branches of the exported banking types."""
     kinds = ", ".join(f"'{b}'" for b in EXPORTED_BANKING)

@@ -180,4 +180,6 @@ def conform(df: DataFrame, schema: T.StructType, check_nulls: bool = True) -> Da
 
 def as_fact(df: DataFrame) -> DataFrame:
     """The seven output columns, in order and in their declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA.fields])
+    return df.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in FACT_SCHEMA.fields]
+    )

@@ -1,8 +1,11 @@
 """Table writers.
 
-Files per partition are balanced by the ``rebalance`` hint: adaptive execution
-merges small shuffle partitions and splits large ones, so one date that holds all
-rows is still written by many tasks.  ``files`` forces an output file count.
+Where a frame holds many partition values, its files are balanced by the
+``rebalance`` hint: adaptive execution merges small shuffle partitions and splits
+large ones, so one date with most of the rows is still written by many tasks.
+``files`` forces an output file count: the rows are dealt out to that many writing
+tasks while everything before keeps its own parallelism.  Leave it out for large
+tables.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ SINGLE_FILE_ROWS = 5_000_000
 
 def _arranged(df: DataFrame, partition: str | None, files: int | None) -> DataFrame:
     if files:
-        return df.coalesce(files)
+        return df.repartition(files)
     return df.hint("rebalance", partition) if partition else df
 
 
@@ -57,7 +60,8 @@ def replace_partition(
 
     A row of any other partition value fails the write, and the old files stay: the
     guard is part of the plan and files only move into place when the job commits.
-    A frame without rows empties the partition.  Returns the rows written.
+    A frame without rows empties the partition.  As there is one partition value,
+    every task writes one file and nothing is shuffled.  Returns the rows written.
     """
     if not re.fullmatch(r"[\w.\-]+", value):
         raise ValueError(f"partition value {value!r} cannot be a directory name")
@@ -71,7 +75,7 @@ def replace_partition(
     )
     seen = Observation("replace_partition")
     (
-        _arranged(guarded.observe(seen, F.count(F.lit(1)).alias("rows")), partition, files)
+        _arranged(guarded.observe(seen, F.count(F.lit(1)).alias("rows")), None, files)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -122,7 +126,7 @@ def export_text(
     if byte_order_mark and header:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     small = df.limit(max_rows + 1).count() <= max_rows
-    shaped = df.coalesce(1) if small else df
+    shaped = df.repartition(1) if small else df
     shaped.write.mode("overwrite").options(sep=sep, header=header).csv(directory)
     return _named(df.sparkSession, directory, file_name, small)
 

@@ -530,6 +530,7 @@ FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS place FROM s) r
 WHERE place <= 5""",
     "sink_overwrite_roundtrip": _REQUESTS,
+    "csv_to_parquet_roundtrip": _REQUESTS,
     "partition_presence": f"""SELECT v.value, EXISTS (SELECT 1 FROM ({_REQUESTS}) q WHERE q.load_date = v.value) AS present
 FROM (VALUES (DATE '{ODATE}'), (DATE '1990-01-31'), (DATE '2000-02-29')) AS v(value)""",
     "csv_codes_roundtrip": """SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS code,

@@ -528,6 +528,18 @@ def sink_overwrite_roundtrip(spark, sf):
     return files.read_zone(spark, path)
 
 
+@query
+def csv_to_parquet_roundtrip(spark, sf):
+    rows = _requests(spark, sf)
+    base = scratch_path(spark, "convert")
+    rows.write.options(sep="|", header=True).csv(f"{base}/csv")
+    for replace in (False, True):
+        ingest.delimited_to_table(
+            spark, f"{base}/csv", rows.schema, f"{base}/table", "load_date", replace=replace
+        )
+    return files.read_zone(spark, f"{base}/table", schema=rows.schema)
+
+
 @query
 def partition_presence(spark, sf):
     return files.partitions_present(

@@ -92,8 +92,12 @@ def test_replace_partition_refuses_other_values_and_keeps_the_old_rows(spark, tm
 def test_replacing_by_nothing_empties_the_partition(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     sinks.create(_table(spark, (1, "2020-01-31"), (2, "2020-02-29")), path, "day")
-    nothing = _table(spark, (5, "2020-02-29")).where("id < 0")
-    assert sinks.replace_partition(nothing, path, "day", "2020-02-29") == 0
+    again = _table(spark, (5, "2020-02-29"))
+    known_empty, found_empty = again.where("id < 0"), again.repartition(2).where("hash(id) % 2 = 5")
+    assert sinks.replace_partition(found_empty, path, "day", "2020-02-29") == 0
+    assert rows(files.read_zone(spark, path), "id") == [(1,)]
+    assert sinks.replace_partition(again, path, "day", "2020-02-29") == 1
+    assert sinks.replace_partition(known_empty, path, "day", "2020-02-29") == 0
     assert rows(files.read_zone(spark, path), "id") == [(1,)]
 
 

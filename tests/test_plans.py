@@ -59,6 +59,14 @@ def test_reader_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "other" not in plan.split("ReadSchema: ")[1].split("\n")[0]
 
 
+def test_newest_cutoff_prunes_partitions(spark, tmp_path):
+    stored = _stored_transfers(spark, tmp_path)
+    newest = snapshots.rows_at_newest(stored, "load_date")
+    filters = plan_of(newest).split("PartitionFilters: ")[1].split("\n")[0]
+    assert "Subquery" in filters
+    assert newest.count() == 50
+
+
 def _concept_plan(spark, tmp_path, small):
     rates = spark.createDataFrame(
         [("MXP", date(2022, 1, 5), Decimal("1.000000"))],
