@@ -119,6 +119,7 @@ def export_text(
 ) -> list[str]:
     """Delimited export under a chosen file name; the names written are returned.
 
+    Values keep their spaces, and a quote inside a quoted value is doubled.
     Up to ``max_rows`` rows go to one file.  A larger result is written by many
     tasks and comes as ``name-00000.ext``, ``name-00001.ext`` and so on, so that no
     task ever carries all of it.
@@ -127,7 +128,13 @@ def export_text(
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     small = df.limit(max_rows + 1).count() <= max_rows
     shaped = df.repartition(1) if small else df
-    shaped.write.mode("overwrite").options(sep=sep, header=header).csv(directory)
+    shaped.write.mode("overwrite").options(
+        sep=sep,
+        header=header,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(directory)
     return _named(df.sparkSession, directory, file_name, small)
 
 

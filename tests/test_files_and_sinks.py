@@ -123,6 +123,16 @@ def test_export_names_one_file_or_numbers_many(spark, tmp_path):
     assert back.count() == 100
 
 
+def test_export_keeps_every_value(spark, tmp_path, rows):
+    values = [(1, " spaced "), (2, 'a "quoted" word'), (3, "two\nlines"), (4, None), (5, "a|b"), (6, "back\\slash")]
+    df = spark.createDataFrame(values, "n int, t string")
+    (name,) = sinks.export_text(df, str(tmp_path / "a"), "o.csv", sep="|")
+    back = files.read_delimited(
+        spark, str(tmp_path / "a" / name), df.schema, sep="|", multi_line=True, escape='"'
+    )
+    assert rows(back) == sorted(values, key=repr)
+
+
 def test_export_with_byte_order_mark(spark, tmp_path):
     sinks.export_text(spark.range(1), str(tmp_path / "a"), "o.csv", byte_order_mark=True)
     assert (tmp_path / "a" / "o.csv").read_bytes().startswith(b"\xef\xbb\xbfid")
