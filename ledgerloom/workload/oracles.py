@@ -381,7 +381,7 @@ _SPACES = (
     r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 _NORMAL = f"lower(regexp_replace(text, '^{_SPACES}+|{_SPACES}+\\z', '', 'g'))"
-_LINES = """SELECT doc_id, unnest(range(len(parts))) AS position, unnest(parts) AS value
+_LINES = """SELECT doc_id, CAST(unnest(range(len(parts))) AS INTEGER) AS position, unnest(parts) AS value
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents) s"""
 
 
@@ -505,11 +505,11 @@ UNION ALL SELECT 'status_type', true, count(*) FILTER (status_type IS NULL) FROM
 UNION ALL SELECT 'absent_column', false, NULL""",
     "null_rows_filled": f"""SELECT request_id, priority_name, request_amount, request_date, 'UNKNOWN' AS status_type, load_date
 FROM ({_REQUESTS}) q WHERE status_type IS NULL""",
-    "distinct_values_by_field": """SELECT lang AS field, source AS value, length(source) AS length, count(*) AS n
+    "distinct_values_by_field": """SELECT lang AS field, source AS value, CAST(length(source) AS INTEGER) AS length, count(*) AS n
 FROM documents GROUP BY lang, source""",
     "value_digest": " UNION ALL ".join(
         f"""SELECT '{c}' AS field, count(DISTINCT {c}) AS distinct_values,
-       max(length(CAST({c} AS VARCHAR))) AS max_length FROM orders"""
+       CAST(max(length(CAST({c} AS VARCHAR))) AS INTEGER) AS max_length FROM orders"""
         for c in ("o_orderstatus", "o_orderpriority", "o_custkey")
     ),
     "clean_chain": """SELECT CAST(o_orderkey AS VARCHAR) AS visit_id, CAST(o_totalprice AS DECIMAL(17,2)) AS visit_amount,
@@ -527,7 +527,7 @@ FROM (SELECT doc_id, {_NORMAL} AS text, source FROM documents) n) d WHERE place
     "text_topk_levenshtein": f"""WITH t AS ({_PLAIN_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
 FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
     "text_topk_each_question": f"""WITH t AS ({_PLAIN_TALK}), s AS ({_EACH_SCORE})
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS place FROM s) r
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS INTEGER) AS place FROM s) r
 WHERE place <= 5""",
     "sink_overwrite_roundtrip": _REQUESTS,
     "csv_to_parquet_roundtrip": _REQUESTS,
