@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -34,3 +36,11 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=repr)
 
     return collect
+
+
+def plan_of(df):
+    """The physical plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

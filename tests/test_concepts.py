@@ -53,8 +53,7 @@ def family(total_by, round_rows):
 
 @pytest.mark.parametrize("total_by", ["product", "code"])
 @pytest.mark.parametrize("round_rows", [True, False])
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("small", [None, False])
+@pytest.mark.parametrize("seed, small", [(1, None), (2, False)])
 def test_roll_up_equals_the_step_by_step_one(spark, total_by, round_rows, seed, small):
     """Random rows with ties, closed accounts, null keys and repeated catalogue keys."""
     rng = random.Random(seed)

@@ -133,6 +133,12 @@ def test_export_keeps_every_value(spark, tmp_path, rows):
     assert rows(back) == sorted(values, key=repr)
 
 
+def test_export_of_no_rows_is_one_file(spark, tmp_path):
+    empty = spark.range(5).where("id % 7 = 6")
+    assert sinks.export_text(empty, str(tmp_path / "a"), "o.csv") == ["o.csv"]
+    assert spark.read.csv(str(tmp_path / "a" / "o.csv"), header=True).count() == 0
+
+
 def test_export_with_byte_order_mark(spark, tmp_path):
     sinks.export_text(spark.range(1), str(tmp_path / "a"), "o.csv", byte_order_mark=True)
     assert (tmp_path / "a" / "o.csv").read_bytes().startswith(b"\xef\xbb\xbfid")

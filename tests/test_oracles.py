@@ -6,6 +6,8 @@ import os
 
 import pytest
 
+from tests.conftest import plan_of
+
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
 entry_module = importlib.import_module("__spark_entry__")
@@ -46,6 +48,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, database, name):
     df = QUERIES[name](spark, SF)
+    plan = plan_of(df)
+    for unwanted in ("CartesianProduct", "NestedLoop", "Python", "Pandas"):
+        assert unwanted not in plan
     result = database.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)

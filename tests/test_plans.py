@@ -1,7 +1,5 @@
 """What the physical plans must and must not contain at cluster scale."""
 
-import contextlib
-import io
 from datetime import date
 from decimal import Decimal
 
@@ -12,19 +10,11 @@ from ledgerloom.plans import families
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import files
 from ledgerloom.sources import movements as read
-from ledgerloom.workload.queries import QUERIES
+from tests.conftest import plan_of
 
-SF = "/root/testdata/sf0.001"
 ODATE = "2022-01-31"
 
 
-def plan_of(df):
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 @pytest.fixture
 def no_automatic_broadcast(spark):
     name = "spark.sql.autoBroadcastJoinThreshold"
@@ -123,12 +113,3 @@ def test_newest_versions_use_no_window(spark):
     df = spark.createDataFrame([("a", date(2022, 1, 1))], "k string, d date")
     plan = plan_of(snapshots.newest_versions(df, ["k"], "d"))
     assert "Window" not in plan and "partial_max" in plan
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_pairs_rows_or_leaves_the_jvm(spark, name):
-    plan = plan_of(QUERIES[name](spark, SF))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-    if name != "text_topk_ratio":
-        assert "Python" not in plan and "Pandas" not in plan
