@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,14 +42,6 @@ def two_digit(column: Column | str) -> Column:
     return F.when(F.length(text) == 2, text).otherwise(F.concat(F.lit("0"), text))
 
 
-def pick(column: Column | str, choices: Mapping[str, str]) -> Column:
-    """Value looked up in a fixed mapping; null when it is not listed."""
-    source = F.col(column) if isinstance(column, str) else column
-    items = list(choices.items())
-    first = F.when(source == items[0][0], F.lit(items[0][1]))
-    return reduce(lambda acc, kv: acc.when(source == kv[0], F.lit(kv[1])), items[1:], first)
-
-
 def flipped_unless(keep: Column, amount: Column | str) -> Column:
     """Amount kept where ``keep`` is true, negated where it is false or null."""
     value = F.col(amount) if isinstance(amount, str) else amount

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
-from ledgerloom.functions.keys import MONEY, flipped_if, money, padded_account, two_digit
+from ledgerloom.functions.keys import flipped_if, money, padded_account, two_digit
 from ledgerloom.operators.lookups import broadcast_if_small, fits_broadcast, with_concept
 from ledgerloom.operators.snapshots import catalogue_of, coded_concepts, open_account_copies
 

@@ -9,8 +9,11 @@ LOOKUP_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; one bounded job counts them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether the frame has at most ``max_rows`` rows.
+
+    One job counts them: each task sends a single number, whatever the size.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:

@@ -126,7 +126,7 @@ def export_text(
     """
     if byte_order_mark and header:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
-    small = df.limit(max_rows + 1).count() <= max_rows
+    small = df.count() <= max_rows
     shaped = df.repartition(1) if small else df
     shaped.write.mode("overwrite").options(
         sep=sep,

@@ -87,11 +87,6 @@ def test_joined_key_is_null_when_a_part_is(spark):
     assert df.select(keys.joined_key(F.lit("K"), "x", "y")).first()[0] is None
 
 
-def test_pick_gives_null_for_unlisted_values(spark, rows):
-    df = spark.createDataFrame([("1",), ("2",), ("9",)], "c string")
-    assert rows(df.select(keys.pick("c", {"1": "one", "2": "two"}))) == [("one",), ("two",), (None,)]
-
-
 @pytest.mark.parametrize("given", ["  A b\n", " X ", "\x1cq\x1f", "plain", "", " \t\n", "a\n\nb"])
 def test_normalised_equals_python_strip_and_lower(spark, given):
     df = spark.createDataFrame([(given,)], "t string")
