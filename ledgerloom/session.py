@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,11 +43,9 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the cluster's shared checkpoint folder.
+    """A fresh folder name below a place that driver and executors share.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a local
-    temporary folder is used instead.
+    That is ``spark.checkpoint.dir``, else the warehouse folder; never a folder of one machine's own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
