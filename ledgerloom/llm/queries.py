@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, quality_rules, sharding, text, warc
+from ledgerloom.llm import mixing, quality_rules, sharding, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op3_closed_syncmers(spark, sf):
+    return syncmers.edited_fingerprints(_documents(spark, sf))
+
+
 @query
 def op4_warc_segments(spark, sf):
     path = scratch_path(spark, "warc")
