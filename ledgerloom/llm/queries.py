@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, quality_rules, sharding, syncmers, text, warc
+from ledgerloom.llm import mixing, ngram_join, quality_rules, sharding, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,8 @@ def op9_hypergeometric_shards(spark, sf):
     )
     sharded = sharding.shuffle_into_shards(docs, text="text_crc32")
     return sharded.select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_ngram_join(spark, sf):
+    return ngram_join.near_duplicate_groups(_documents(spark, sf))
