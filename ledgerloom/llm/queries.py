@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, ngram_join, quality_rules, sharding, syncmers, text, warc
+from ledgerloom.llm import mixing, ngram_join, quality_rules, sharding, suffix_dedup, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op4_warc_segments(spark, sf):
     return warc.read_pages(spark, path)
 
 
+@query
+def op5_deep_shallow_dedup(spark, sf):
+    cleaned = suffix_dedup.without_repeats(_documents(spark, sf))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s[1] - s[0])
+    return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_quality_cascade(spark, sf):
     judged = quality_rules.judged(_documents(spark, sf).select("doc_id", "text"))
