@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, ngram_join, quality_rules, sharding, suffix_dedup, syncmers, text, warc
+from ledgerloom.llm import mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op2_bm25_packing(spark, sf):
+    pieces = packing.pack(_documents(spark, sf))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op3_closed_syncmers(spark, sf):
     return syncmers.edited_fingerprints(_documents(spark, sf))
