@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, syncmers, text, warc
+from ledgerloom.llm import mil_classifier, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_attention_mil(spark, sf):
+    docs = _documents(spark, sf)
+    model = mil_classifier.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = mil_classifier.score(docs, model)
+    return scored.select("doc_id", mil_classifier.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "passage")
+
+
 @query
 def op2_bm25_packing(spark, sf):
     pieces = packing.pack(_documents(spark, sf))
