@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mil_classifier, mixing, ngram_join, packing, quality_rules, sharding, suffix_dedup, syncmers, text, warc
+from ledgerloom.llm import mil_classifier, mixing, ngram_join, packing, pii, quality_rules, sharding, suffix_dedup, syncmers, text, warc
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,13 @@ def op7_systematic_mix(spark, sf):
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+@query
+def op8_semi_markov_pii(spark, sf):
+    docs = _documents(spark, sf)
+    found = pii.detect(docs, pii.fit(docs))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op9_hypergeometric_shards(spark, sf):
     body = F.coalesce("text", F.lit(""))
