@@ -158,7 +158,10 @@ def cascade(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Dat
     struct, so no name can clash.  A null comparison never rejects.
     """
     ordered = order_rules(docs, rules, sample_rows)
-    return _with_words(docs).select("row", first_rejection(ordered, _inline).alias("rejected_by"))
+    text = F.col("row.text")
+    # The words are bound inside the expression: as a column, a filter above would work them out again and again.
+    verdict = let(words(text), lambda w: first_rejection(ordered, lambda f: feature(f, text, w)))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select("row", verdict.alias("rejected_by"))
 
 
 def passing(docs: DataFrame, **options) -> DataFrame:
