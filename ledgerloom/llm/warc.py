@@ -13,6 +13,7 @@ freed of the chunked framing.  Revisits are then resolved against their response
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4 * 1024
-RECORDS_PER_FILE = 2_000
+RECORDS_PER_FILE = 1_000
 END = "\r\n\r\n"
 # WARC and HTTP header lines.
 VERSION = "WARC/1.1"
@@ -136,7 +137,8 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
     table = page_table(pages).mapInArrow(records, "value string")
-    table.write.mode("overwrite").option("lineSep", END).option("maxRecordsPerFile", records_per_file).text(path)
+    writer = table.write.mode("overwrite").option("lineSep", END).option("maxRecordsPerFile", records_per_file)
+    writer.text(path, compression="gzip")
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -156,22 +158,33 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + len(end)
 
 
-RECORD = "name string, kind string, of string, digest string, origin string, segment int, total bigint, block binary"
+def checked_payload(name: str, digest: str, block: bytes) -> bytes:
+    """The payload of a whole HTTP message."""
+    payload = dechunked(block[block.index(END.encode()) + 4 :])
+    if digest != f"sha1:{digest_of(payload)}":
+        raise ValueError(f"{name}: the payload does not match its digest")
+    return payload
+
+
+RECORD = "name string, kind string, of string, digest string, origin string, segment int, total bigint, block binary, payload binary"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per WARC record of the archives below ``path``."""
+    """One row per WARC record of the archives below ``path``; whole responses come with their payload, segments with their block."""
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = lambda x: x and x.strip("<>")
         number = lambda x: x and int(x)
         for batch in batches:
             for content in batch.column("content"):
-                rows = [
-                    (plain(f["WARC-Record-ID"]), f["WARC-Type"], plain(f.get("WARC-Refers-To")), f.get("WARC-Payload-Digest"), plain(f.get("WARC-Segment-Origin-ID")), number(f.get("WARC-Segment-Number")), number(f.get("WARC-Segment-Total-Length")), block)
-                    for f, block in parse_archive(content.as_py())
-                ]
-                types = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary()]
+                rows = []
+                for f, block in parse_archive(gzip.decompress(content.as_py())):
+                    name, digest = plain(f["WARC-Record-ID"]), f.get("WARC-Payload-Digest")
+                    whole = f["WARC-Type"] == "response" and "WARC-Segment-Number" not in f
+                    fields = (f["WARC-Type"], plain(f.get("WARC-Refers-To")), digest, plain(f.get("WARC-Segment-Origin-ID")))
+                    numbers = (number(f.get("WARC-Segment-Number")), number(f.get("WARC-Segment-Total-Length")))
+                    rows.append((name, *fields, *numbers, None if whole else block, checked_payload(name, digest, block) if whole else None))
+                types = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 columns = zip(*rows, strict=True) if rows else [()] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [c.split()[0] for c in RECORD.split(", ")])
 
@@ -180,17 +193,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decoded payloads of whole HTTP messages, checked against total length and digest."""
+    """Payloads of segments put together, checked against total length and digest."""
     for batch in batches:
         kept: list[bytes] = []
         for name, digest, total, parts in zip(*(batch.column(c) for c in ("name", "digest", "total", "parts")), strict=True):
             block = b"".join(parts.as_py())
-            if total.is_valid and total.as_py() != len(block):
+            if total.as_py() != len(block):
                 raise ValueError(f"{name}: {len(block)} bytes in segments, {total} declared")
-            payload = dechunked(block[block.index(END.encode()) + 4 :])
-            if digest.as_py() != f"sha1:{digest_of(payload)}":
-                raise ValueError(f"{name}: the payload does not match its digest")
-            kept.append(payload)
+            kept.append(checked_payload(name.as_py(), digest.as_py(), block))
         yield pa.RecordBatch.from_arrays([batch.column("name"), batch.column("copies"), batch.column("digest"), pa.array(kept, pa.binary())], ["name", "copies", "digest", "payload"])
 
 
@@ -201,7 +211,7 @@ def reassembled(records: DataFrame) -> DataFrame:
     twice) count once, their number becomes ``copies``; a missing or doubled segment number,
     a wrong total or a wrong digest fails the job.  A group is one payload, never more.
     """
-    whole = records.where("kind = 'response' and segment is null").select("name", F.lit(1).cast("bigint").alias("copies"), "digest", F.lit(None).cast("bigint").alias("total"), F.array("block").alias("parts"))
+    whole = records.where("kind = 'response' and segment is null").select("name", F.lit(1).cast("bigint").alias("copies"), "digest", "payload")
     part = F.struct("segment", "block", "digest", "total")
     cut = (
         records.where("kind in ('response', 'continuation') and segment is not null")
@@ -219,7 +229,7 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.when(in_order & F.col("total").isNotNull(), F.col("total")).otherwise(F.raise_error(F.concat(F.lit("segments are missing: "), "name"))).cast("bigint").alias("total"),
         F.transform("parts", lambda p: p["block"]).alias("parts"),
     )
-    return whole.unionByName(cut).mapInArrow(_payloads, "name string, copies bigint, digest string, payload binary")
+    return whole.unionByName(cut.mapInArrow(_payloads, "name string, copies bigint, digest string, payload binary"))
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
