@@ -1,8 +1,6 @@
 """ledgerloom: batch banking analytics expressed as Spark DataFrame plans.
 
-Every operator takes DataFrames and returns a DataFrame.  Nothing runs before a
-sink, apart from the row counts that decide whether a lookup side may be
-broadcast (:mod:`ledgerloom.operators.lookups`).
+Every operator takes DataFrames and returns a DataFrame; nothing runs before a sink.
 """
 
 from ledgerloom.session import build_session, scratch_path

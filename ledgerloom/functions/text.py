@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,20 +27,3 @@ def edit_similarity(column: Column | str, text: str) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(
         F.lit(1.0) - F.levenshtein(column, other) / longest
     )
-
-
-def matching_ratio(column: Column | str, text: str) -> Column:
-    """Ratcliff-Obershelp ratio of ``text`` against each value (Arrow batches).
-
-    No built-in function computes this ratio, so it is the one Python function
-    of the library.  The value takes the second place of the comparison, as in
-    ``SequenceMatcher(None, text, value)``.
-    """
-
-    @F.pandas_udf("double")
-    def score(values: pd.Series) -> pd.Series:
-        return values.map(
-            lambda v: SequenceMatcher(None, text, v).ratio() if v is not None else None
-        ).astype("float64")
-
-    return score(column)

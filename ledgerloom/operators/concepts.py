@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
 from ledgerloom.functions.keys import flipped_if, money, padded_account, two_digit
-from ledgerloom.operators.lookups import broadcast_if_small, fits_broadcast, with_concept
 from ledgerloom.operators.snapshots import catalogue_of, coded_concepts, open_account_copies
 
 AMOUNT_SUFFIX = "IMP"
@@ -53,13 +52,7 @@ class ConceptFamily:
     account_key: Column = field(default_factory=lambda: F.col("account_id"))
 
 
-def detail_sums(movements: DataFrame, family: ConceptFamily) -> DataFrame:
-    """Movements summed per account and key, before they meet the accounts.
-
-    Columns ``family, account_id, account_key, concept_key, amount, operations``.
-    The first aggregation step runs on the map side, so an account or a key with a
-    third of all movements sends one row per task to the shuffle.
-    """
+def _valued(movements: DataFrame, family: ConceptFamily) -> DataFrame:
     amount = money(family.amount) if family.round_rows else family.amount
     operations = family.operations if family.operations is not None else F.lit(1)
     return (
@@ -70,17 +63,32 @@ def detail_sums(movements: DataFrame, family: ConceptFamily) -> DataFrame:
             operations.cast("bigint").alias("operations"),
         )
         .where(F.col("concept_key").isNotNull())
-        .groupBy("account_id", "concept_key")
-        .agg(F.sum("amount").alias("amount"), F.sum("operations").alias("operations"))
-        .select(
-            F.lit(family.name).alias("family"),
-            "account_id",
-            family.account_key.alias("account_key"),
-            "concept_key",
-            F.col("amount").cast("decimal(23,8)").alias("amount"),
-            "operations",
-        )
+        .withColumns({"family": F.lit(family.name), "account_key": family.account_key})
+    )
+
+
+def _kept_scale(df: DataFrame, column: str) -> Column:
+    """A decimal with all its places, narrow enough to be multiplied by a count without losing any."""
+    return F.col(column).cast(f"decimal(23,{max(8, df.schema[column].dataType.scale)})")
+
+
+def detail_sums(sources: list[tuple[DataFrame, ConceptFamily]], catalogue: DataFrame | None = None) -> DataFrame:
+    """Movements of all families summed per account and key, before they meet the accounts.
+
+    Columns ``family, account_id, account_key, concept_key, amount, operations``.
+    With a ``catalogue``, keys without a concept leave first.  The first aggregation step runs on the map
+    side, so an account or a key with a third of all movements sends one row per
+    task to the shuffle.
+    """
+    rows = reduce(DataFrame.unionByName, [_valued(m, f) for m, f in sources])
+    if catalogue is not None:
+        suffixes = f"({AMOUNT_SUFFIX}|{COUNT_SUFFIX})$"
+        known = catalogue.select(F.regexp_replace("primary_key_type", suffixes, "").alias("concept_key")).distinct()
+        rows = rows.join(known, "concept_key", "left_semi")
+    summed = rows.groupBy("family", "account_id", "account_key", "concept_key").agg(
+        F.sum("amount").alias("amount"), F.sum("operations").alias("operations")
     )
+    return summed.withColumn("amount", _kept_scale(summed, "amount"))
 
 
 def keep_open_accounts(sums: DataFrame, copies: DataFrame) -> DataFrame:
@@ -152,9 +160,7 @@ def _total_of_product(families: list[ConceptFamily]) -> str:
     return f"try_element_at(map({pairs}), concat_ws('|', family, product))"
 
 
-def level_map(
-    catalogue: DataFrame, families: list[ConceptFamily], small: bool | None = None
-) -> DataFrame:
+def level_map(catalogue: DataFrame, families: list[ConceptFamily]) -> DataFrame:
     """For each family and detail key, the concept rows it adds to.
 
     Columns ``family, primary_key_type, level, group_id, target_key, weight``.
@@ -182,7 +188,7 @@ def level_map(
     ).where(F.col("product").isNotNull())
     totals = (
         direct.where(F.col("level") == "subtotal")
-        .join(broadcast_if_small(products, small), F.col("target_key") == F.col("sub_key"))
+        .join(products, F.col("target_key") == F.col("sub_key"))
         .select(
             "primary_key_type",
             "family",
@@ -201,13 +207,11 @@ def level_map(
     )
 
 
-def concept_rows(catalogue: DataFrame, small: bool | None = None) -> DataFrame:
+def concept_rows(catalogue: DataFrame) -> DataFrame:
     """The output columns of each concept, with its number of catalogue rows."""
     concepts = catalogue.select(*_CATALOGUE).where(F.col("primary_key_type").isNotNull())
     repeats = concepts.groupBy("primary_key_type").agg(F.count("*").alias("repeats"))
-    return concepts.join(broadcast_if_small(repeats, small), "primary_key_type").withColumnRenamed(
-        "primary_key_type", "target_key"
-    )
+    return concepts.join(repeats, "primary_key_type").withColumnRenamed("primary_key_type", "target_key")
 
 
 def roll_up(
@@ -215,19 +219,13 @@ def roll_up(
     catalogue: DataFrame,
     families: list[ConceptFamily],
     odate: str,
-    small: bool | None = None,
 ) -> DataFrame:
     """Detail rows (:func:`amount_and_count_rows`) to fact rows of all three levels.
 
-    Both catalogue joins are broadcast when the catalogue is small: what is derived
-    from it has a fixed number of rows per catalogue row.  The only grouping is by
-    account, level and concept; after :func:`keep_open_accounts` the rows are
-    already spread by account, so it needs no further shuffle.
+    The only grouping is by account, level and concept.
     """
-    if small is None:
-        small = fits_broadcast(catalogue)
     by_code = [f.name for f in families if f.total_by == "code"]
-    levels = broadcast_if_small(level_map(catalogue, families, small), small)
+    levels = level_map(catalogue, families)
     summed = (
         detail.join(levels, ["family", "primary_key_type"])
         .groupBy("account_key", "account_id", "family", "level", "group_id", "target_key")
@@ -237,7 +235,7 @@ def roll_up(
             )
         )
     )
-    out = summed.join(broadcast_if_small(concept_rows(catalogue, small), small), "target_key")
+    out = summed.join(concept_rows(catalogue), "target_key")
     # A concept listed twice repeats the row once per listing and lookup.
     single = (F.col("level") != "detail") & F.col("family").isin(*by_code) if by_code else F.lit(False)
     times = F.when(single, F.lit(1)).otherwise(F.col("repeats").cast("int"))
@@ -259,14 +257,12 @@ def concept_rollup(
     catalogue: DataFrame,
     odate: str,
     dedupe_accounts: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Fact rows of one or many families; accounts and catalogue are joined once."""
     copies = open_account_copies(accounts, odate, dedupe=dedupe_accounts)
     families = list({f.name: f for _, f in sources}.values())
-    sums = reduce(DataFrame.unionByName, [detail_sums(m, f) for m, f in sources])
-    detail = amount_and_count_rows(keep_open_accounts(sums, copies))
-    return roll_up(detail, catalogue, families, odate, small)
+    detail = amount_and_count_rows(keep_open_accounts(detail_sums(sources, catalogue), copies))
+    return roll_up(detail, catalogue, families, odate)
 
 
 def _fact(grouped: DataFrame, account: str, odate: str) -> DataFrame:
@@ -286,82 +282,83 @@ def _fact(grouped: DataFrame, account: str, odate: str) -> DataFrame:
     )
 
 
-def signed_movements(
-    movements: DataFrame,
-    accounts: DataFrame,
-    catalogue: DataFrame,
-    odate: str,
-    small: bool | None = None,
-) -> DataFrame:
+_PRODUCTS = ("commercial_product_type", "commercial_subproduct_type")
+
+
+def _codes(catalogue: DataFrame, key: str, *more: str) -> DataFrame:
+    """Concepts by key, equal rows once with their number as ``weight``."""
+    return (
+        catalogue.where(F.col("primary_key_type").isNotNull())
+        .groupBy(
+            F.col("primary_key_type").alias(key),
+            "data_code_id",
+            "sender_application_id",
+            *more,
+            F.col("commercial_product_type").alias("product_cat"),
+            F.col("commercial_subproduct_type").alias("subproduct_cat"),
+        )
+        .agg(F.count("*").alias("weight"))
+    )
+
+
+def _times(*counts: str) -> Column:
+    return reduce(lambda a, b: a * b, [F.col(c) for c in counts]).cast("decimal(14,0)")
+
+
+def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
     """General movements (B40W) with the catalogue's sign, at their own fine grain.
 
     A plus sign in the catalogue turns the amount negative.  Amounts stay in their
     own currency.  Product and subproduct of the account are part of the grain.
+
+    The catalogue comes first and the one aggregation already has the full grain, so
+    nothing is grouped after the account join: a partition that a busy account makes
+    too large is split there.
     """
-    grain = ("load_date", "transaction_date", "transaction_desc", "currency_id", "movement_key")
+    codes = _codes(coded_concepts(catalogue), "movement_key", "sign_type")
+    grain = ("load_date", "transaction_date", "transaction_desc", "currency_id", *codes.columns)
     sums = (
         movements.withColumn("account", F.concat("counterpart_id", "folio_contract_id"))
         .where(F.col("account").isNotNull())
+        .join(codes, "movement_key")
         .groupBy("account", *grain)
         .agg(F.sum("transaction_amount").alias("amount"))
     )
-    copies = open_account_copies(
-        accounts, odate, ("commercial_product_type", "commercial_subproduct_type")
-    )
-    held = sums.join(copies, F.col("account") == F.col("account_id"), "inner").withColumnsRenamed(
-        {
-            "commercial_product_type": "account_product",
-            "commercial_subproduct_type": "account_subproduct",
-        }
-    )
-    coded = with_concept(
-        held,
-        coded_concepts(catalogue),
-        "movement_key",
-        "data_code_id",
-        "sender_application_id",
-        "sign_type",
-        F.col("commercial_product_type").alias("product_cat"),
-        F.col("commercial_subproduct_type").alias("subproduct_cat"),
-        small=small,
+    signed = flipped_if(F.col("sign_type") == "+", "amount")
+    sums = sums.withColumn("amount", signed)
+    copies = open_account_copies(accounts, odate, _PRODUCTS).select("account_id", "copies")
+    # The second key says nothing new.  It makes both sides be dealt out afresh: only such exchanges can be split,
+    # while the summary's own partitioning by account would be reused as it is.
+    same = (F.col("account") == F.col("account_id")) & (F.length("account") == F.length("account_id"))
+    held = sums.join(copies, same, "inner")
+    return _fact(held.withColumn("amount", _kept_scale(sums, "amount") * _times("weight", "copies")), "account_id", odate)
+
+
+def _commission_sums(movements: DataFrame, account_key: Column, catalogue: DataFrame) -> DataFrame:
+    keys = catalogue_of(catalogue, "SIC").select(F.col("primary_key_type").alias("concept_key")).distinct()
+    return (
+        movements.join(keys, "concept_key", "left_semi")
+        .groupBy("commission_account_id", "concept_key")
+        .agg(F.sum("total_commission_tax_amount").alias("amount"))
+        .withColumn("account_key", account_key)
     )
-    signed = flipped_if(F.col("sign_type") == "+", "amount").cast("decimal(23,8)")
-    grouped = coded.groupBy(
-        "account_id",
-        *grain,
-        "product_cat",
-        "subproduct_cat",
-        "data_code_id",
-        "sender_application_id",
-        "account_product",
-        "account_subproduct",
-        "sign_type",
-    ).agg(F.sum(signed * F.col("copies").cast("decimal(14,0)")).alias("amount"))
-    return _fact(grouped, "account_id", odate)
 
 
-def _commission_facts(
-    sums: DataFrame,
-    account_key: Column,
-    accounts: DataFrame,
-    catalogue: DataFrame,
-    odate: str,
-    small: bool | None,
-) -> DataFrame:
-    copies = open_account_copies(accounts, odate)
-    held = sums.withColumn("account_key", account_key).join(
-        copies, F.col("account_key") == F.col("account_id"), "inner"
-    )
-    coded = with_concept(
-        held,
-        catalogue_of(catalogue, "SIC"),
-        "concept_key",
-        "data_code_id",
-        "sender_application_id",
-        F.col("commercial_product_type").alias("product_cat"),
-        F.col("commercial_subproduct_type").alias("subproduct_cat"),
-        small=small,
-    )
+def _plain_commissions(movements: DataFrame, catalogue: DataFrame) -> DataFrame:
+    return _commission_sums(movements, F.col("commission_account_id"), catalogue)
+
+
+def _branch_commissions(movements: DataFrame, catalogue: DataFrame) -> DataFrame:
+    keyed = movements.withColumn("concept_key", F.concat(F.lit("SICCOBR5"), two_digit("card_service_type")))
+    return _commission_sums(keyed, padded_account("commission_account_id"), catalogue)
+
+
+def _commission_facts(sums: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
+    """Commission sums as facts: one account join, rows of one account and concept summed."""
+    versions = open_account_copies(accounts, odate, _PRODUCTS)
+    copies = versions.groupBy("account_id").agg(F.sum("copies").alias("copies"))
+    held = sums.join(copies, F.col("account_key") == F.col("account_id"), "inner")
+    coded = held.join(_codes(catalogue_of(catalogue, "SIC"), "concept_key"), "concept_key")
     grouped = coded.groupBy(
         "account_key",
         "commission_account_id",
@@ -369,45 +366,26 @@ def _commission_facts(
         "sender_application_id",
         "product_cat",
         "subproduct_cat",
-    ).agg(
-        F.sum(
-            F.col("amount").cast("decimal(23,8)") * F.col("copies").cast("decimal(14,0)")
-        ).alias("amount")
-    )
+        F.expr("substring(concept_key, 1, 8)").alias("source"),
+    ).agg(F.sum(_kept_scale(sums, "amount") * _times("weight", "copies")).alias("amount"))
     return _fact(grouped, "commission_account_id", odate)
 
 
-def _commission_sums(movements: DataFrame) -> DataFrame:
-    return movements.groupBy("commission_account_id", "concept_key").agg(
-        F.sum("total_commission_tax_amount").alias("amount")
-    )
-
-
-def commission_concepts(
-    movements: DataFrame,
-    accounts: DataFrame,
-    catalogue: DataFrame,
-    odate: str,
-    small: bool | None = None,
-) -> DataFrame:
+def commission_concepts(movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str) -> DataFrame:
     """Commissions (SICOCO) per account and concept."""
-    return _commission_facts(
-        _commission_sums(movements), F.col("commission_account_id"), accounts, catalogue, odate, small
-    )
+    return _commission_facts(_plain_commissions(movements, catalogue), accounts, catalogue, odate)
 
 
 def branch_commission_concepts(
-    movements: DataFrame,
-    accounts: DataFrame,
-    catalogue: DataFrame,
-    odate: str,
-    small: bool | None = None,
+    movements: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str
 ) -> DataFrame:
     """Commissions (SICOCO5): the padded number finds the account, the plain one is kept."""
-    keyed = movements.withColumn(
-        "concept_key", F.concat(F.lit("SICCOBR5"), two_digit("card_service_type"))
-    )
-    account_key = padded_account("commission_account_id")
-    return _commission_facts(
-        _commission_sums(keyed), account_key, accounts, catalogue, odate, small
-    )
+    return _commission_facts(_branch_commissions(movements, catalogue), accounts, catalogue, odate)
+
+
+def all_commission_concepts(
+    commissions: DataFrame, branch_commissions: DataFrame, accounts: DataFrame, catalogue: DataFrame, odate: str
+) -> DataFrame:
+    """Both commission sources with one account join; each keeps rows of its own."""
+    sums = _plain_commissions(commissions, catalogue).unionByName(_branch_commissions(branch_commissions, catalogue))
+    return _commission_facts(sums, accounts, catalogue, odate)

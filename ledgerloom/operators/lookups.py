@@ -1,34 +1,14 @@
-"""Joins to small dated or coded tables: rates, catalogue, branches, accounts."""
+"""Joins to dated or coded tables: rates, catalogue, branches, accounts.
+
+No side is marked for broadcast: sizes in bytes, known from files or measured by
+adaptive execution, decide against the session's threshold.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows.
-
-    One job counts them: each task sends a single number, whatever the size.
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, small: bool | None = None) -> DataFrame:
-    """The frame marked for broadcast, but only when it is small.
-
-    ``small`` is the answer of an earlier :func:`fits_broadcast` on the same table;
-    without it the check runs here.  A larger frame comes back unmarked: the join is
-    then a shuffle join whose skewed partitions adaptive execution splits, whatever
-    share of the rows one key holds.
-    """
-    if small is None:
-        small = fits_broadcast(df)
-    return F.broadcast(df) if small else df
-
-
 def convert_currency(
     movements: DataFrame,
     rates: DataFrame,
@@ -36,13 +16,11 @@ def convert_currency(
     business_date: str,
     trim_currency: bool = False,
     how: str = "inner",
-    small: bool | None = None,
 ) -> DataFrame:
     """Adds ``exchange_rate``: the rate of the row's currency on its business date.
 
     A movement without a rate is dropped, whatever its currency; ``how="left_anti"``
-    gives exactly those dropped rows instead.  ``small``: see
-    :func:`broadcast_if_small`.
+    gives exactly those dropped rows instead.
     """
     lookup = rates.select(
         F.col("currency_id").alias("rate_currency"),
@@ -51,7 +29,7 @@ def convert_currency(
     )
     code = F.trim(currency) if trim_currency else F.col(currency)
     joined = movements.join(
-        broadcast_if_small(lookup, small),
+        lookup,
         (code == F.col("rate_currency")) & (F.col(business_date) == F.col("rate_date")),
         how,
     )
@@ -63,7 +41,6 @@ def with_concept(
     catalogue: DataFrame,
     key: str,
     *columns: str | Column,
-    small: bool | None = None,
 ) -> DataFrame:
     """Catalogue columns of the concept whose key equals ``key``; unmatched rows drop."""
     wanted = columns or (
@@ -73,9 +50,7 @@ def with_concept(
         "commercial_subproduct_type",
     )
     lookup = catalogue.select(F.col("primary_key_type").alias("catalogue_key"), *wanted)
-    return rows.join(
-        broadcast_if_small(lookup, small), F.col(key) == F.col("catalogue_key"), "inner"
-    ).drop("catalogue_key")
+    return rows.join(lookup, F.col(key) == F.col("catalogue_key"), "inner").drop("catalogue_key")
 
 
 def join_filtered(
@@ -93,5 +68,5 @@ def join_filtered(
     other = right.where(F.expr(right_filter)) if right_filter else right
     other = other.select(*[F.col(r).alias(f"_right_{r}") for r in dict.fromkeys(pairs.values())])
     condition = [F.col(s) == F.col(f"_right_{o}") for s, o in pairs.items()]
-    joined = left.join(broadcast_if_small(other), condition, how)
+    joined = left.join(other, condition, how)
     return joined.select(*(select or left.columns))

@@ -10,6 +10,7 @@ pass over it, and each other dataset is read once.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,12 +25,13 @@ class QualityFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class Rule:
-    """Common thresholds, in percent."""
+    """Common thresholds, in percent; ``with_refusals`` asks a job to store the rows that fail."""
 
     acceptance_min: float = 100.0
     min_threshold: float = 100.0
     target_threshold: float = 100.0
     critical: bool = True
+    with_refusals: bool = False
 
     @property
     def kind(self) -> str:
@@ -99,7 +101,7 @@ class NotNull(Rule):
 
 @dataclass(frozen=True)
 class DateEquals(Rule):
-    """A date column holds the expected date."""
+    """A date column holds the expected date, given as an ISO date or a midnight."""
 
     column: str = ""
     value: str = ""
@@ -109,7 +111,10 @@ class DateEquals(Rule):
         return self.column
 
     def ok(self) -> Column:
-        return F.col(self.column) == as_date(self.value[:10])
+        moment = datetime.fromisoformat(self.value)
+        if moment.time() != time(0):
+            raise ValueError(f"{self.value!r} is no date")
+        return F.col(self.column) == as_date(moment.date().isoformat())
 
 
 @dataclass(frozen=True)
@@ -148,11 +153,13 @@ def length_rules(limits: dict[str, int], **thresholds: object) -> list[Rule]:
 
 
 def _expected(rule: Rule) -> Column:
-    """The other count as a scalar subquery (0 when there is none); null for row rules."""
+    """The other count as a scalar subquery, null for row rules; anything but one row of it is refused."""
     other = rule.other()
     if other is None:
         return F.lit(None).cast("bigint")
-    return F.coalesce(other.agg(F.max("n")).scalar(), F.lit(0)).cast("bigint")
+    wrong = F.raise_error(F.concat(F.lit(f"{rule.kind} needs one control row, found "), F.count("*").cast("string")))
+    one = F.when(F.count("*") == 1, F.max("n")).otherwise(wrong.cast("bigint"))
+    return F.coalesce(other.agg(one.alias("n")).scalar(), F.lit(0)).cast("bigint")
 
 
 def evaluate(df: DataFrame, rules: list[Rule], subset: str | None = None) -> DataFrame:

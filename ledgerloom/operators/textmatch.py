@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import edit_similarity, matching_ratio, normalised
-
-SCORERS = {"ratio": matching_ratio, "edits": edit_similarity}
+from ledgerloom.functions.text import edit_similarity, normalised
 
 
 def cut_records(df: DataFrame, text: str, separator: str, *ids: str) -> DataFrame:
@@ -77,16 +75,14 @@ def closest(
     text: str,
     question: str,
     top: int = 10,
-    scorer: str = "ratio",
     tie_break: list[str] | None = None,
 ) -> DataFrame:
     """The ``top`` rows whose text is most like ``question``, with ``score``.
 
     One pass without any join: every task scores its rows and keeps its own best,
-    and only those meet.  ``scorer`` is ``ratio`` (exact matching ratio) or
-    ``edits`` (edit distance, inside the JVM).
+    and only those meet.  Likeness is the edit distance over the longer length.
     """
-    scored = df.withColumn("score", SCORERS[scorer](text, question))
+    scored = df.withColumn("score", edit_similarity(text, question))
     return scored.orderBy(F.desc_nulls_last("score"), *(tie_break or [])).limit(top)
 
 
@@ -95,7 +91,6 @@ def closest_each(
     text: str,
     questions: list[str],
     top: int = 10,
-    scorer: str = "ratio",
     tie_break: list[str] | None = None,
 ) -> DataFrame:
     """:func:`closest` for several questions in one pass: adds ``question``, ``place``.
@@ -105,7 +100,7 @@ def closest_each(
     """
     scores = F.array(
         *[
-            F.struct(F.lit(q).alias("question"), SCORERS[scorer](text, q).alias("score"))
+            F.struct(F.lit(q).alias("question"), edit_similarity(text, q).alias("score"))
             for q in questions
         ]
     )

@@ -89,7 +89,7 @@ DEM_DEPOSITS = ("4", "5", "6")
 Source = tuple[DataFrame, ConceptFamily]
 
 
-def sit(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
+def sit(movements: DataFrame, rates: DataFrame) -> Source:
     """Transfers by sending application; each row is rounded after conversion."""
     family = ConceptFamily(
         name="SIT",
@@ -101,12 +101,12 @@ def sit(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> So
         totals=SIT_TOTALS,
     )
     valued = convert_currency(
-        movements, rates, "operation_currency_id", "sit_transaction_date", small=small
+        movements, rates, "operation_currency_id", "sit_transaction_date"
     )
     return valued, family
 
 
-def cie(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
+def cie(movements: DataFrame, rates: DataFrame) -> Source:
     """Collections by channel; the amount is rounded before and after conversion."""
     family = ConceptFamily(
         name="CIE",
@@ -118,7 +118,7 @@ def cie(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> So
         totals=CIE_TOTALS,
     )
     valued = convert_currency(
-        movements, rates, "currency_id", "transaction_date", trim_currency=True, small=small
+        movements, rates, "currency_id", "transaction_date", trim_currency=True
     )
     return valued, family
 
@@ -134,9 +134,7 @@ def _cheque_case(kind: Column, choices: list[tuple[str, tuple[str, ...], Column]
     return reduce(lambda acc, c: acc.when(kind.isin(*c[1]), pair(c[0], c[2])), rest, start)
 
 
-def tib_dem(
-    cheques: DataFrame, deposits: DataFrame, rates: DataFrame, small: bool | None = None
-) -> Source:
+def tib_dem(cheques: DataFrame, deposits: DataFrame, rates: DataFrame) -> Source:
     """Cheques and deposits.  Each type belongs to one prefix and counts one amount.
 
     The filter trims the type but the key keeps it as it is, so a padded type finds
@@ -156,7 +154,7 @@ def tib_dem(
 
     def valued(rows: DataFrame, choices: list) -> DataFrame:
         return (
-            convert_currency(rows, rates, "currency_id", "transfer_debit_date", small=small)
+            convert_currency(rows, rates, "currency_id", "transfer_debit_date")
             .withColumn("_case", _cheque_case(kind, choices))
             .where(F.col("_case").isNotNull())
             .select(
@@ -245,7 +243,7 @@ def debits_by_issuance(movements: DataFrame, issuances: DataFrame) -> DataFrame:
     )
 
 
-def h2h(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> Source:
+def h2h(movements: DataFrame, rates: DataFrame) -> Source:
     """Host-to-host by the service's last four characters; the sum is rounded."""
     family = ConceptFamily(
         name="H2H",
@@ -256,7 +254,7 @@ def h2h(movements: DataFrame, rates: DataFrame, small: bool | None = None) -> So
         totals=H2H_TOTALS,
     )
     valued = convert_currency(
-        movements, rates, "operation_currency_type", "transaction_date", small=small
+        movements, rates, "operation_currency_type", "transaction_date"
     )
     return valued, family
 

@@ -49,9 +49,15 @@ def load_tables(spark: SparkSession, paths: Mapping[str, str], names: tuple[str,
     return {n: files.read_zone(spark, paths[n]) for n in names}
 
 
-def first_part_job(spark: SparkSession, paths: Mapping[str, str], odate: str, target: str) -> None:
-    """Writes the first part of the profit facts as an intermediate table."""
-    sinks.overwrite(profit.base_concepts(load_tables(spark, paths, FIRST_PART_TABLES), odate), target)
+def first_part_job(
+    spark: SparkSession, paths: Mapping[str, str], odate: str, target: str, files_count: int | None = None
+) -> None:
+    """Writes the first part of the profit facts as an intermediate table.
+
+    In all table jobs files are balanced by size, unless ``files_count`` sets their number.
+    """
+    facts = profit.base_concepts(load_tables(spark, paths, FIRST_PART_TABLES), odate)
+    sinks.overwrite(facts if files_count else facts.hint("rebalance"), target, files=files_count)
 
 
 def second_part_job(
@@ -62,6 +68,7 @@ def second_part_job(
     first_part: str,
     target: str,
     partition: str = "cutoff_date",
+    files_count: int | None = None,
 ) -> int:
     """Adds the rolled-up families to the stored first part; replaces one cutoff.
 
@@ -71,7 +78,7 @@ def second_part_job(
     tables = load_tables(spark, paths, SECOND_PART_TABLES)
     facts = profit.profit_facts(tables, odate, datem, base=files.read_zone(spark, first_part))
     checked = conform(facts, FACT_SCHEMA, check_nulls=False)
-    return sinks.replace_partition(checked, target, partition, odate)
+    return sinks.replace_partition(checked, target, partition, odate, files=files_count)
 
 
 def landing_job(
@@ -85,6 +92,7 @@ def landing_job(
     header: bool = True,
     multi_line: bool = False,
     fmt: str = "parquet",
+    files_count: int | None = None,
 ) -> int:
     """Landing files to one partition of the all-text raw table."""
     raw_schema = read_table_schema(schema_file, raw=True)
@@ -93,7 +101,7 @@ def landing_job(
     )
     value = injected[partition]
     raw = ingest.landing_to_raw(rows, injected, raw_schema, keep=f"{partition} = '{value}'")
-    return sinks.replace_partition(raw, raw_path, partition, value, fmt=fmt)
+    return sinks.replace_partition(raw, raw_path, partition, value, fmt=fmt, files=files_count)
 
 
 def master_job(
@@ -107,6 +115,7 @@ def master_job(
     clean: bool = True,
     date_formats: Mapping[str, str] | None = None,
     fmt: str = "parquet",
+    files_count: int | None = None,
 ) -> int:
     """One partition of the raw table to the typed master table.
 
@@ -123,11 +132,25 @@ def master_job(
         date_formats=formats,
         clean=clean,
     )
-    return sinks.replace_partition(master, master_path, partition, value)
+    return sinks.replace_partition(master, master_path, partition, value, files=files_count)
 
 
-def quality_job(df: DataFrame, rules: list[quality.Rule], target: str, subset: str | None = None) -> DataFrame:
-    """Stores the report of the rules and stops when a critical one is KO."""
+def quality_job(
+    df: DataFrame,
+    rules: list[quality.Rule],
+    target: str,
+    subset: str | None = None,
+    refused: str | None = None,
+) -> DataFrame:
+    """Stores the report of the rules and stops when a critical one is KO.
+
+    The rows that fail a rule ``with_refusals`` are stored below ``refused`` before that.
+    """
+    kept = [r for r in rules if r.with_refusals]
+    if kept and not refused:
+        raise ValueError("rules with refusals need a place to store them")
+    if kept:
+        sinks.overwrite(quality.refusals(df, kept, subset).hint("rebalance"), refused)
     sinks.overwrite(quality.evaluate(df, rules, subset), target, files=1)
     return quality.enforce(files.read_zone(df.sparkSession, target))
 

@@ -8,12 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.concepts import (
-    branch_commission_concepts,
-    commission_concepts,
+    all_commission_concepts,
     concept_rollup,
     signed_movements,
 )
-from ledgerloom.operators.lookups import fits_broadcast
 from ledgerloom.operators.snapshots import current_catalogue
 from ledgerloom.plans import families
 from ledgerloom.schemas import as_fact
@@ -32,17 +30,15 @@ def base_concepts(tables: Mapping[str, DataFrame], odate: str) -> DataFrame:
     branch_commissions``.
     """
     accounts, catalogue = tables["accounts"], current_catalogue(tables["catalogue"])
-    small = fits_broadcast(catalogue)
     return union_facts(
         tables["earlier_facts"],
-        signed_movements(
-            read.general_movements(tables["general_movements"], odate), accounts, catalogue, odate, small
-        ),
-        commission_concepts(
-            read.commissions(tables["commissions"], odate), accounts, catalogue, odate, small
-        ),
-        branch_commission_concepts(
-            read.branch_commissions(tables["branch_commissions"], odate), accounts, catalogue, odate, small
+        signed_movements(read.general_movements(tables["general_movements"], odate), accounts, catalogue, odate),
+        all_commission_concepts(
+            read.commissions(tables["commissions"], odate),
+            read.branch_commissions(tables["branch_commissions"], odate),
+            accounts,
+            catalogue,
+            odate,
         ),
     )
 
@@ -50,22 +46,20 @@ def base_concepts(tables: Mapping[str, DataFrame], odate: str) -> DataFrame:
 def family_sources(tables: Mapping[str, DataFrame], odate: str, datem: str) -> list[families.Source]:
     """Valued movements of the seven rolled-up families."""
     rates = read.daily_rates(tables["rates"], odate)
-    small = fits_broadcast(rates)
     return [
-        families.sit(read.transfers(tables["transfers"], odate, datem), rates, small),
-        families.cie(read.collections_by_agreement(tables["collections"], odate, datem), rates, small),
+        families.sit(read.transfers(tables["transfers"], odate, datem), rates),
+        families.cie(read.collections_by_agreement(tables["collections"], odate, datem), rates),
         families.tib_dem(
             read.cheques(tables["cheques"], odate, datem),
             read.cheque_deposits(tables["deposits"], odate, datem),
             rates,
-            small,
         ),
         families.dom(
             read.debit_movements(tables["debits"], odate),
             read.debit_issuances(tables["issuances"], odate),
         ),
         families.die(read.dispersals(tables["dispersals"], odate)),
-        families.h2h(read.host_to_host(tables["host_to_host"], odate), rates, small),
+        families.h2h(read.host_to_host(tables["host_to_host"], odate), rates),
         families.nom(read.payrolls(tables["payrolls"], odate)),
     ]
 

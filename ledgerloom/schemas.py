@@ -72,9 +72,10 @@ def read_table_schema(source: str | Path | dict, raw: bool = False) -> T.StructT
     return T.StructType(fields)
 
 
-def read_spark_schema(path: str | Path) -> T.StructType:
-    """``StructType`` kept in Spark's own JSON form."""
-    return T.StructType.fromJson(json.loads(Path(path).read_text("utf-8-sig")))
+def read_spark_schema(source: str | Path | dict) -> T.StructType:
+    """``StructType`` kept in Spark's own JSON form: a file, or the parsed record."""
+    record = source if isinstance(source, dict) else json.loads(Path(source).read_text("utf-8-sig"))
+    return T.StructType.fromJson(record)
 
 
 def fields_where(schema: T.StructType, keep: Callable[[T.StructField], bool]) -> list[str]:

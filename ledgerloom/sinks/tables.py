@@ -16,9 +16,6 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 5_000_000
-
-
 def _arranged(df: DataFrame, partition: str | None, files: int | None) -> DataFrame:
     if files:
         return df.repartition(files)
@@ -52,48 +49,58 @@ def replace_partition(
     df: DataFrame,
     path: str,
     partition: str,
-    value: str,
+    value: str | list[str],
     fmt: str = "parquet",
     files: int | None = None,
 ) -> int:
-    """One partition replaced, all others untouched; running it again changes nothing.
+    """One or several partitions replaced, all others untouched; running it again changes nothing.
 
     A row of any other partition value fails the write, and the old files stay: the
     guard is part of the plan and files only move into place when the job commits.
-    A frame without rows empties the partition.  As there is one partition value,
-    every task writes one file and nothing is shuffled.  Returns the rows written.
+    A value without rows empties its partition.  Files are balanced by size unless
+    ``files`` sets their number.  Returns the rows written.
     """
-    if not re.fullmatch(r"[\w.\-]+", value):
-        raise ValueError(f"partition value {value!r} cannot be a directory name")
+    values = [value] if isinstance(value, str) else list(value)
+    for v in values:
+        if not re.fullmatch(r"[\w.\-]+", v):
+            raise ValueError(f"partition value {v!r} cannot be a directory name")
     kind = df.schema[partition].dataType
+    typed = [F.lit(v).cast(kind) for v in values]
     wrong = F.raise_error(
-        F.concat(F.lit(f"row outside {partition}={value}: "), F.coalesce(F.col(partition).cast("string"), F.lit("null")))
+        F.concat(
+            F.lit(f"row outside {partition}={','.join(values)}: "),
+            F.coalesce(F.col(partition).cast("string"), F.lit("null")),
+        )
     )
     guarded = df.withColumn(
-        partition,
-        F.when(F.col(partition) == F.lit(value).cast(kind), F.col(partition)).otherwise(wrong.cast(kind)),
+        partition, F.when(F.col(partition).isin(*typed), F.col(partition)).otherwise(wrong.cast(kind))
     )
     seen = Observation("replace_partition")
+    counts = [F.count_if(F.col(partition) == t).alias(f"rows_{i}") for i, t in enumerate(typed)]
+    watched = guarded.observe(seen, *counts)
     (
-        _arranged(guarded.observe(seen, F.count(F.lit(1)).alias("rows")), None, files)
+        (watched.repartition(files) if files else watched.hint("rebalance"))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .save(path)
     )
-    rows = _observed(seen)
-    if rows == 0:
-        _delete(df.sparkSession, f"{path.rstrip('/')}/{partition}={value}")
-    return rows
+    rows = _observed(seen, guarded, len(values))
+    for v, n in zip(values, rows, strict=True):
+        if n == 0:
+            _delete(df.sparkSession, f"{path.rstrip('/')}/{partition}={v}")
+    return sum(rows)
 
 
-def _observed(seen: Observation) -> int:
+def _observed(seen: Observation, df: DataFrame, values: int) -> list[int]:
+    """Rows per value.  The optimiser drops the counters of a frame it proves empty; any other failure is raised."""
     try:
-        return seen.get["rows"]
+        return [seen.get[f"rows_{i}"] for i in range(values)]
     except Py4JJavaError:
-        # The optimiser proved the frame empty and dropped the counter with it.
-        return 0
+        if not df.isEmpty():
+            raise
+        return [0] * values
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -111,23 +118,21 @@ def _delete(spark: SparkSession, path: str) -> None:
 def export_text(
     df: DataFrame,
     directory: str,
-    file_name: str,
+    file_name: str | None,
     sep: str = ",",
     header: bool = True,
     byte_order_mark: bool = False,
-    max_rows: int = SINGLE_FILE_ROWS,
 ) -> list[str]:
-    """Delimited export under a chosen file name; the names written are returned.
+    """Delimited export; the names of the files written are returned.
 
-    Values keep their spaces, and a quote inside a quoted value is doubled.
-    Up to ``max_rows`` rows go to one file.  A larger result is written by many
-    tasks and comes as ``name-00000.ext``, ``name-00001.ext`` and so on, so that no
-    task ever carries all of it.
+    Values keep their spaces, and a quote inside a quoted value is doubled.  With a
+    ``file_name`` one task writes that single file, so it is for results of a size
+    one machine should carry.  With None all tasks write and the part files keep the
+    names Spark gives them.
     """
     if byte_order_mark and header:
         df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
-    small = df.count() <= max_rows
-    shaped = df.repartition(1) if small else df
+    shaped = df.repartition(1) if file_name else df
     shaped.write.mode("overwrite").options(
         sep=sep,
         header=header,
@@ -135,19 +140,12 @@ def export_text(
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(directory)
-    return _named(df.sparkSession, directory, file_name, small)
-
-
-def _named(spark: SparkSession, directory: str, file_name: str, single: bool) -> list[str]:
-    fs, target = _hadoop(spark, directory)
-    path_class = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs, target = _hadoop(df.sparkSession, directory)
     parts = sorted(
         s.getPath().getName() for s in fs.listStatus(target) if s.getPath().getName().startswith("part-")
     )
-    stem, dot, ending = file_name.rpartition(".")
-    names = []
-    for i, part in enumerate(parts):
-        name = file_name if single else f"{stem or ending}-{i:05d}{dot}{ending if stem else ''}"
-        fs.rename(path_class(f"{directory}/{part}"), path_class(f"{directory}/{name}"))
-        names.append(name)
-    return names
+    if not file_name:
+        return parts
+    path_class = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.rename(path_class(f"{directory}/{parts[0]}"), path_class(f"{directory}/{file_name}"))
+    return [file_name]

@@ -28,6 +28,8 @@ SPOT_QUOTE = "S"
 DAILY_RATE = "D"
 MONTHLY_RATE = "M"
 
+# The columns each reader selects, their names and the codes in its filters.
+
 
 def _arrived(odate: str, datem: str) -> Column:
     return within("load_date", month_start(odate), datem)

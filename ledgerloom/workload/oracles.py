@@ -385,11 +385,13 @@ _LINES = """SELECT doc_id, CAST(unnest(range(len(parts))) AS INTEGER) AS positio
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents) s"""
 
 
-_PLAIN_TALK = "SELECT conv_id, turn, regexp_replace(text, '[^ -~]', '?', 'g') AS text FROM conversations"
+# The edit distance here counts bytes.  The questions are plain ASCII, so one byte that stands in none of them
+# can stand for any other character while distances are counted; the text itself stays as stored.
+_TALK = "SELECT conv_id, turn, text, regexp_replace(text, '[^ -~]', chr(1), 'g') AS counted FROM conversations"
 
 
 def _score(question: str) -> str:
-    return f"""1.0::DOUBLE - CAST(levenshtein(text, '{question}') AS DOUBLE)
+    return f"""1.0::DOUBLE - CAST(levenshtein(counted, '{question}') AS DOUBLE)
        / CAST(greatest(length(text), length('{question}')) AS DOUBLE)"""
 
 
@@ -409,8 +411,10 @@ ORACLES: dict[str, str] = {
        last_day(CAST(o_orderdate AS DATE)) AS month_end, strftime(o_orderdate, '%d/%m/%Y') AS day_text, count(*) AS n
 FROM orders GROUP BY 1, 2, 3""",
     "max_date_as_of": f"WITH {_with('transfers')} SELECT max(load_date) AS load_date FROM transfers_rows WHERE load_date <= DATE '{ODATE}'",
-    "catalog_newest_cutoff": f"""WITH {CATALOGUE} SELECT primary_key_type, bg_operation_id, data_code_id, cutoff_date
-FROM cat WHERE data_code_id IS NOT NULL AND bg_operation_id = 'SIC'""",
+    "catalog_newest_cutoff": """WITH c AS (SELECT CAST(o_orderkey AS VARCHAR) AS primary_key_type,
+  substr(o_orderpriority, 1, 1) AS bg_operation_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS data_code_id,
+  CAST(date_trunc('year', o_orderdate) AS DATE) AS cutoff_date FROM orders)
+SELECT * FROM c WHERE cutoff_date = (SELECT max(cutoff_date) FROM c) AND data_code_id IS NOT NULL AND bg_operation_id = '1'""",
     "month_window_late_arrivals": _reader("transfers", _SIT),
     "collections_reader": _reader("collections", _CIE),
     "signed_amount_currency_case": _reader("cheques", _CHQ),
@@ -475,11 +479,13 @@ SELECT account_id, pk AS primary_key_type, amount AS analytic_concept_amount FRO
     "dq_refusals": f"""WITH t AS ({_REQUESTS})
 SELECT t.*, 'NotNull(request_id,status_type)' AS refused_by FROM t WHERE request_id IS NULL OR status_type IS NULL
 UNION ALL SELECT t.*, 'MaxLength(priority_name)' FROM t WHERE length(priority_name) > 8""",
-    "dq_acceptance": """SELECT 'not_empty' AS "check", count(*) > 0 AS ok FROM orders
-UNION ALL SELECT 'same_records', true UNION ALL SELECT 'column_count', true""",
+    "dq_acceptance": f"""SELECT 'not_empty' AS "check", count(*) > 0 AS ok FROM orders
+UNION ALL SELECT 'same_records', (SELECT count(*) FROM ({_REQUESTS}) a) = (SELECT count(*) FROM ({ROLES["raw_orders"]}) b)
+UNION ALL SELECT 'column_count', (SELECT count(*) FROM (DESCRIBE ({_REQUESTS}))) = (SELECT count(*) FROM (DESCRIBE ({ROLES["raw_orders"]})))""",
     "dq_max_length": _DQ_LENGTH,
-    "dq_files_per_partition": f"""SELECT DISTINCT 'load_date=' || CAST(load_date AS VARCHAR) AS directory, true AS ok
-FROM ({_REQUESTS}) q""",
+    "dq_files_per_partition": f"""SELECT 'load_date=' || CAST(load_date AS VARCHAR) AS directory,
+       count(*) > 0 AS has_files, sum(octet_length(CAST(q AS VARCHAR)::BLOB)) > 0 AS has_bytes, count(DISTINCT load_date) < 100 AS ok
+FROM ({_REQUESTS}) q GROUP BY load_date""",
     "profile_dates": _each_date(
         f"""SELECT '{{c}}' AS column_name, count(*) AS rows, count(*) FILTER ({{c}} IS NULL) AS nulls,
        count(*) FILTER (regexp_matches({{c}}, {_DATE_PATTERN})) AS matching,
@@ -494,6 +500,8 @@ WHERE {{c}} IS NOT NULL AND NOT regexp_matches({{c}}, {_DATE_PATTERN}) GROUP BY
     ),
     "parse_dates_lenient": f"""WITH t AS ({_MIXED}) SELECT o_orderkey, {_lenient("visit_start_date")} AS visit_start_date,
        {_lenient("visit_end_date")} AS visit_end_date FROM t""",
+    "parse_dates_strict": """SELECT o_orderkey,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS visit_start_date FROM orders""",
     "profile_nulls": f"WITH t AS ({_REQUESTS}) "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM t"
@@ -524,13 +532,14 @@ SELECT doc_id, position, CASE WHEN len(pieces) = 2 THEN pieces[1] ELSE halves[1]
     "text_dedupe": f"""SELECT doc_id, text, source FROM (
 SELECT doc_id, text, source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS place
 FROM (SELECT doc_id, {_NORMAL} AS text, source FROM documents) n) d WHERE place = 1""",
-    "text_topk_levenshtein": f"""WITH t AS ({_PLAIN_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
+    "text_topk_levenshtein": f"""WITH t AS ({_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
 FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
-    "text_topk_each_question": f"""WITH t AS ({_PLAIN_TALK}), s AS ({_EACH_SCORE})
+    "text_topk_each_question": f"""WITH t AS ({_TALK}), s AS ({_EACH_SCORE})
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS INTEGER) AS place FROM s) r
 WHERE place <= 5""",
     "sink_overwrite_roundtrip": _REQUESTS,
     "csv_to_parquet_roundtrip": _REQUESTS,
+    "spark_json_schema_roundtrip": _REQUESTS,
     "partition_presence": f"""SELECT v.value, EXISTS (SELECT 1 FROM ({_REQUESTS}) q WHERE q.load_date = v.value) AS present
 FROM (VALUES (DATE '{ODATE}'), (DATE '1990-01-31'), (DATE '2000-02-29')) AS v(value)""",
     "csv_codes_roundtrip": """SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS code,

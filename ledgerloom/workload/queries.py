@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from ledgerloom.operators import (
     transforms,
 )
 from ledgerloom.plans import families, ingest, profit
-from ledgerloom.schemas import conform, read_table_schema
+from ledgerloom.schemas import conform, read_spark_schema, read_table_schema
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import files
@@ -96,10 +97,15 @@ def max_date_as_of(spark, sf):
 
 @query
 def catalog_newest_cutoff(spark, sf):
-    coded = snapshots.coded_concepts(_catalogue(spark, sf))
-    return snapshots.catalogue_of(coded, "SIC").select(
-        "primary_key_type", "bg_operation_id", "data_code_id", "cutoff_date"
+    """Orders as catalogue rows: the newest order date, coded rows, one priority."""
+    listed = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("primary_key_type"),
+        F.substring("o_orderpriority", 1, 1).alias("bg_operation_id"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("data_code_id"),
+        F.trunc("o_orderdate", "year").alias("cutoff_date"),
     )
+    current = snapshots.coded_concepts(snapshots.current_catalogue(listed))
+    return snapshots.catalogue_of(current, "1")
 
 
 # --- readers ---------------------------------------------------------------
@@ -303,9 +309,8 @@ def _sit(spark: SparkSession, sf: str) -> families.Source:
 
 @query
 def detail_imp_ope(spark, sf):
-    movements, family = _sit(spark, sf)
     copies = snapshots.open_account_copies(role(spark, sf, "accounts"), ODATE)
-    sums = concepts.keep_open_accounts(concepts.detail_sums(movements, family), copies)
+    sums = concepts.keep_open_accounts(concepts.detail_sums([_sit(spark, sf)]), copies)
     return concepts.amount_and_count_rows(sums).select(
         "account_id", "primary_key_type", "analytic_concept_amount"
     )
@@ -472,9 +477,7 @@ def ingest_landing_to_raw(spark, sf):
     read_back = files.read_delimited(
         spark, path, landing.schema, sep="|", header=False, multi_line=True
     )
-    return ingest.landing_to_raw(
-        read_back, {"load_date": ODATE}, raw_schema, keep=f"load_date = '{ODATE}'"
-    )
+    return ingest.landing_to_raw(read_back, {"load_date": ODATE}, raw_schema)
 
 
 @query
@@ -540,6 +543,17 @@ def csv_to_parquet_roundtrip(spark, sf):
     return files.read_zone(spark, f"{base}/table", schema=rows.schema)
 
 
+@query
+def spark_json_schema_roundtrip(spark, sf):
+    """A schema kept in Spark's JSON form, stored as text and used to read a delimited file."""
+    rows = _requests(spark, sf)
+    base = scratch_path(spark, "json-schema")
+    rows.write.options(sep="|", header=True).csv(f"{base}/csv")
+    spark.createDataFrame([(rows.schema.json(),)], "value string").write.text(f"{base}/schema")
+    stored = spark.read.text(f"{base}/schema", wholetext=True).first()["value"]
+    return files.read_delimited(spark, f"{base}/csv", read_spark_schema(json.loads(stored)), sep="|")
+
+
 @query
 def partition_presence(spark, sf):
     return files.partitions_present(
@@ -679,7 +693,10 @@ def dq_max_length(spark, sf):
 def dq_files_per_partition(spark, sf):
     path = scratch_path(spark, "files")
     sinks.append_partitioned(_requests(spark, sf), path, "load_date")
-    return quality.files_per_directory(spark, path).select("directory", "ok")
+    found = quality.files_per_directory(spark, path)
+    return found.select(
+        "directory", (F.col("files") > 0).alias("has_files"), (F.col("size_mb") > 0).alias("has_bytes"), "ok"
+    )
 
 
 def _mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -720,6 +737,15 @@ def parse_dates_lenient(spark, sf):
     )
 
 
+@query
+def parse_dates_strict(spark, sf):
+    day = F.date_format(F.to_date("o_orderdate"), "dd/MM/yyyy")
+    written = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", day).alias("visit_start_date")
+    )
+    return transforms.parse_dates("visit_.*_date", "dd/MM/yyyy", strict=True)(written)
+
+
 @query
 def profile_nulls(spark, sf):
     return profiling.null_counts(_requests(spark, sf))
@@ -801,21 +827,10 @@ def text_dedupe(spark, sf):
     return textmatch.dedupe_by_text(docs, "text", "doc_id")
 
 
-def _talk(spark: SparkSession, sf: str) -> DataFrame:
-    plain = F.regexp_replace("text", "[^ -~]", "?").alias("text")
-    return table(spark, sf, "conversations").select("conv_id", "turn", plain)
-
-
 @query
 def text_topk_levenshtein(spark, sf):
-    return textmatch.closest(_talk(spark, sf), "text", QUESTION, 10, "edits", ["conv_id", "turn"])
-
-
-@query
-def text_topk_ratio(spark, sf):
-    return textmatch.closest(
-        table(spark, sf, "conversations"), "text", QUESTION, 10, "ratio", ["conv_id", "turn"]
-    )
+    talk = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return textmatch.closest(talk, "text", QUESTION, 10, ["conv_id", "turn"])
 
 
 QUESTIONS = [QUESTION, "What does the ander of the thering do", "Che la anda"]
@@ -823,6 +838,5 @@ QUESTIONS = [QUESTION, "What does the ander of the thering do", "Che la anda"]
 
 @query
 def text_topk_each_question(spark, sf):
-    return textmatch.closest_each(
-        _talk(spark, sf), "text", QUESTIONS, 5, "edits", ["conv_id", "turn"]
-    )
+    talk = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return textmatch.closest_each(talk, "text", QUESTIONS, 5, ["conv_id", "turn"])

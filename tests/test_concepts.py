@@ -53,8 +53,8 @@ def family(total_by, round_rows):
 
 @pytest.mark.parametrize("total_by", ["product", "code"])
 @pytest.mark.parametrize("round_rows", [True, False])
-@pytest.mark.parametrize("seed, small", [(1, None), (2, False)])
-def test_roll_up_equals_the_step_by_step_one(spark, total_by, round_rows, seed, small):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_roll_up_equals_the_step_by_step_one(spark, total_by, round_rows, seed):
     """Random rows with ties, closed accounts, null keys and repeated catalogue keys."""
     rng = random.Random(seed)
     names = ["a1", "a2", "a3", "a4", None]
@@ -90,7 +90,6 @@ def test_roll_up_equals_the_step_by_step_one(spark, total_by, round_rows, seed,
         accounts(spark, held),
         catalogue(spark, concepts_rows),
         ODATE,
-        small=small,
     )
     want = naive.roll_up(
         moves, held, concepts_rows, spec.subtotals, spec.totals, total_by, round_rows, DAY
@@ -372,3 +371,30 @@ def test_catalogue_cutoff_is_unbounded_unless_asked(spark, rows):
     )
     assert rows(snapshots.current_catalogue(df), "primary_key_type") == [("k3",)]
     assert rows(snapshots.current_catalogue(df, ODATE), "primary_key_type") == [("k2",)]
+
+def test_family_maps_are_pinned():
+    """Written out, as the comparison SQL reads the same maps as the library."""
+    want = {
+        "CHEQUE_SUBTOTALS": {"3310": "DEMTEFEIMP", "3330": "DEMTCHQIMP", "3410": "TIBTEFEIMP", "3430": "TIBTCHQIMP", "5310": "DEMTEFEOPE", "5330": "DEMTCHQOPE", "5410": "TIBTEFEOPE", "5430": "TIBTCHQOPE"},
+        "CHEQUE_TOTALS": {"3310": "DEMTOTLIMP", "3330": "DEMTOTLIMP", "3410": "TIBTOTLIMP", "3430": "TIBTOTLIMP", "5310": "DEMTOTLOPE", "5330": "DEMTOTLOPE", "5410": "TIBTOTLOPE", "5430": "TIBTOTLOPE"},
+        "CIE_SUBTOTALS": {"3210": "CIETDIGIMP", "5210": "CIETDIGOPE", "3230": "CIEVTOTIMP", "5230": "CIEVTOTOPE"},
+        "CIE_TOTALS": {"32": "CIETOTLIMP", "52": "CIETOTLOPE"},
+        "DEM_BY_CASH": ("4",),
+        "DEM_BY_CHEQUE": ("5", "6"),
+        "DEM_DEPOSITS": ("4", "5", "6"),
+        "DIE_SUBTOTALS": {"4210": "DIEPAGLIMP", "6210": "DIEPAGLOPE", "4230": "DIECREDIMP", "6230": "DIECREDOPE"},
+        "DIE_TOTALS": {"42": "DIETDIEIMP", "62": "DIETDIEOPE"},
+        "DOM_SUBTOTALS": {"3610": "DOMDIGLIMP", "5610": "DOMDIGLOPE", "3620": "DOMMANUIMP", "5620": "DOMMANUOPE"},
+        "DOM_TOTALS": {"36": "DOMTDOMIMP", "56": "DOMTDOMOPE"},
+        "H2H_SUBTOTALS": {"3710": "H2HT008IMP", "5710": "H2HT008OPE", "3730": "H2HT009IMP", "5730": "H2HT009OPE"},
+        "H2H_TOTALS": {"37": "H2HTH2HIMP", "57": "H2HTH2HOPE"},
+        "MANUAL_CHANNELS": ("O", "M"),
+        "NOM_SUBTOTALS": {"4310": "NOMNOMDIMP", "6310": "NOMNOMDOPE", "4330": "NOMNOMAIMP", "6330": "NOMNOMAOPE"},
+        "NOM_TOTALS": {"43": "NOMNOMTIMP", "63": "NOMNOMTOPE"},
+        "SIT_SUBTOTALS": {"4110": "SITTDIGIMP", "6110": "SITTDIGOPE", "4130": "SITVTOTIMP", "6130": "SITVTOTOPE"},
+        "SIT_TOTALS": {"41": "SITTOTLIMP", "61": "SITTOTLOPE"},
+        "TIB_BY_CASH": ("B", "C"),
+        "TIB_BY_CHEQUE": ("D", "E", "3"),
+        "TIB_DEPOSITS": ("D", "E", "3", "B", "C"),
+    }
+    assert {n: getattr(families, n) for n in want} == want

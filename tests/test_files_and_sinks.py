@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,16 +114,39 @@ def test_create_append_and_overwrite(spark, tmp_path, rows):
     assert rows(files.read_zone(spark, path), "id") == [(1,)]
 
 
-def test_export_names_one_file_or_numbers_many(spark, tmp_path):
+def test_export_names_one_file_or_keeps_the_part_files(spark, tmp_path):
     df = spark.range(100, numPartitions=4)
     single = sinks.export_text(df, str(tmp_path / "a"), "out.txt")
     assert single == ["out.txt"] and "out.txt" in os.listdir(tmp_path / "a")
-    many = sinks.export_text(df, str(tmp_path / "b"), "out.txt", max_rows=10)
-    assert many == [f"out-{i:05d}.txt" for i in range(4)]
+    many = sinks.export_text(df, str(tmp_path / "b"), None)
+    assert len(many) == 4 and set(many) <= set(os.listdir(tmp_path / "b"))
     back = spark.read.csv([str(tmp_path / "b" / n) for n in many], header=True)
     assert back.count() == 100
 
 
+def test_a_failed_count_keeps_the_new_rows(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.create(_table(spark, (1, "2020-01-31")), path, "day")
+
+    def fail(self):
+        raise Py4JJavaError("lost", None)
+
+    monkeypatch.setattr(Py4JJavaError, "__init__", lambda self, *a: Exception.__init__(self, *a))
+    monkeypatch.setattr(sinks.Observation, "get", property(fail))
+    with pytest.raises(Py4JJavaError):
+        sinks.replace_partition(_table(spark, (9, "2020-01-31")), path, "day", "2020-01-31")
+    assert rows(files.read_zone(spark, path), "id") == [(9,)]
+
+
+def test_several_partitions_are_replaced_at_once_in_few_files(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    sinks.create(_table(spark, (1, "2020-01-31"), (2, "2020-02-29"), (3, "2020-03-31")), path, "day")
+    many = spark.range(1000, numPartitions=400).selectExpr("id", "DATE'2020-02-29' AS day")
+    assert sinks.replace_partition(many, path, "day", ["2020-01-31", "2020-02-29"]) == 1000
+    assert sorted(d for d in os.listdir(path) if d.startswith("day")) == ["day=2020-02-29", "day=2020-03-31"]
+    assert len([f for f in os.listdir(f"{path}/day=2020-02-29") if f.endswith(".parquet")]) < 100
+
+
 def test_export_keeps_every_value(spark, tmp_path, rows):
     values = [(1, " spaced "), (2, 'a "quoted" word'), (3, "two\nlines"), (4, None), (5, "a|b"), (6, "back\\slash")]
     df = spark.createDataFrame(values, "n int, t string")

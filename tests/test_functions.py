@@ -1,6 +1,5 @@
 from datetime import date
 from decimal import Decimal
-from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,16 +92,6 @@ def test_normalised_equals_python_strip_and_lower(spark, given):
     assert df.select(text.normalised("t")).first()[0] == given.lower().strip()
 
 
-def test_matching_ratio_is_exact(spark):
-    values = ["how does it work", "", "completely different", "How does IT work?", None]
-    question = "how does this work"
-    df = spark.createDataFrame([(v,) for v in values], "t string")
-    got = [r[0] for r in df.select(text.matching_ratio("t", question)).collect()]
-    assert got == [
-        None if v is None else SequenceMatcher(None, question, v).ratio() for v in values
-    ]
-
-
 def test_edit_similarity(spark):
     df = spark.createDataFrame([("kitten",), ("",)], "t string")
     got = [r[0] for r in df.select(text.edit_similarity("t", "sitting")).collect()]

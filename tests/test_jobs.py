@@ -58,6 +58,25 @@ def test_landing_to_raw_to_master(spark, tmp_path, schema_file, rows):
     with pytest.raises(quality.QualityFailure):
         jobs.quality_job(stored, [quality.NotNull(columns=("visit_name",))], str(tmp_path / "dq"))
     assert files.read_zone(spark, str(tmp_path / "dq")).count() == 1
+    asked = [quality.NotNull(columns=("visit_name",), with_refusals=True, critical=False), quality.NotNull(columns=("paid_amount",), critical=False)]
+    jobs.quality_job(stored, asked, str(tmp_path / "dq"), refused=str(tmp_path / "refused"))
+    refused = files.read_zone(spark, str(tmp_path / "refused"))
+    assert rows(refused, "visit_id", "refused_by") == [(4, "NotNull(visit_name)")]
+    with pytest.raises(ValueError, match="refusals"):
+        jobs.quality_job(stored, asked, str(tmp_path / "dq"))
+
+
+def test_file_counts_of_the_table_jobs(spark, tmp_path, schema_file):
+    raw, master = str(tmp_path / "raw"), str(tmp_path / "master")
+    (tmp_path / "v.csv").write_text("".join(f"{i}|n|01/01/2022|1.5\n" for i in range(50)))
+    jobs.landing_job(
+        spark, str(tmp_path / "v.csv"), raw, schema_file, {"load_date": "2022-01-30"}, "load_date",
+        sep="|", header=False, files_count=3,
+    )
+    jobs.master_job(spark, raw, master, schema_file, schema_file, "load_date", "2022-01-30", files_count=2)
+    for path, count in ((raw, 3), (master, 2)):
+        found = quality.files_per_directory(spark, path).collect()
+        assert [r["files"] for r in found] == [count]
 
 
 def test_both_profit_parts_from_stored_tables(spark, tmp_path, rows):

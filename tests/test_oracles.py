@@ -6,12 +6,13 @@ import os
 
 import pytest
 
+from ledgerloom.workload.oracles import ORACLES
+from ledgerloom.workload.queries import QUERIES
 from tests.conftest import plan_of
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
 entry_module = importlib.import_module("__spark_entry__")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables absent")
 
@@ -36,9 +37,21 @@ def _sorted(columns, rows):
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-def test_only_the_ratio_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"text_topk_ratio"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["concept_all", "balance_export", "concept_sit"])
+def test_building_a_query_starts_no_job(spark, name):
+    QUERIES[name](spark, SF)  # the schemas of the test tables are read once
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", name)
+    try:
+        QUERIES[name](spark, SF)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup(f"build-{name}")
 
 
 def test_entry(spark):

@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import concepts, snapshots, textmatch
 from ledgerloom.plans import families
@@ -57,7 +58,7 @@ def test_newest_cutoff_prunes_partitions(spark, tmp_path):
     assert newest.count() == 50
 
 
-def _concept_plan(spark, tmp_path, small):
+def _concept_plan(spark, tmp_path):
     rates = spark.createDataFrame(
         [("MXP", date(2022, 1, 5), Decimal("1.000000"))],
         "currency_id string, load_date date, exchange_currency_min_amount decimal(17,6)",
@@ -71,29 +72,69 @@ def _concept_plan(spark, tmp_path, small):
         "commercial_product_type string, commercial_subproduct_type string",
     )
     moves = read.transfers(_stored_transfers(spark, tmp_path), ODATE, "2022-02-05")
-    out = concepts.concept_rollup([families.sit(moves, rates, small)], held, book, ODATE, small=small)
+    out = concepts.concept_rollup([families.sit(moves, rates)], held, book, ODATE)
     return plan_of(out)
 
 
-def test_movements_are_summed_before_they_meet_the_accounts(spark, tmp_path, no_automatic_broadcast):
-    plan = _concept_plan(spark, tmp_path, True)
-    tree = plan.split("\n\n")[0]
+def test_movements_are_summed_before_they_meet_the_accounts(spark, tmp_path):
+    tree = _concept_plan(spark, tmp_path).split("\n\n")[0]
     assert tree.count("Scan parquet") == 1
-    assert tree.count("SortMergeJoin") == 1
-    assert tree.count("BroadcastHashJoin") >= 3
-    above, below = tree.split("SortMergeJoin")
-    # One exchange below for the sums, one to meet the accounts, none above.
-    assert "Exchange" not in above.replace("BroadcastExchange", "")
-    assert "HashAggregate" in below
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # Small sides are broadcast by their size, and keys without a concept leave before the first sum.
+    below = tree[tree.index("HashAggregate") :]
+    assert "LeftSemi" in _concept_plan(spark, tmp_path) and below.count("HashAggregate") >= 4
+    assert "CartesianProduct" not in tree and "NestedLoop" not in tree
 
 
 def test_large_lookups_fall_back_to_shuffle_joins(spark, tmp_path, no_automatic_broadcast):
-    plan = _concept_plan(spark, tmp_path, False)
-    assert "BroadcastHashJoin" not in plan
+    plan = _concept_plan(spark, tmp_path)
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_a_busy_account_is_split_in_the_general_movement_join(spark, no_automatic_broadcast):
+    """One account with a third of the rows: the join reads its partition in parts."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        account = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000)
+        moves = spark.range(60_000, numPartitions=8).select(
+            F.lit("2022-01-31").cast("date").alias("load_date"),
+            F.lit("2022-01-30").cast("date").alias("transaction_date"),
+            F.concat(F.lit("movement "), "id").alias("transaction_desc"),
+            F.lit("MXP").alias("currency_id"),
+            F.lit("K").alias("movement_key"),
+            F.lit("").alias("counterpart_id"),
+            account.cast("string").alias("folio_contract_id"),
+            (F.abs(F.xxhash64("id")) % 10**12).cast("decimal(17,2)").alias("transaction_amount"),
+        )
+        held = spark.range(1000).select(
+            F.col("id").cast("string").alias("account_id"), F.lit("A").alias("contract_status_type"),
+            F.lit("2022-01-31").cast("date").alias("cutoff_date"),
+            F.lit("p").alias("commercial_product_type"), F.lit("s").alias("commercial_subproduct_type"),
+        )
+        book = spark.createDataFrame(
+            [("K", "7110", "S", "+", "71", "d")],
+            "primary_key_type string, data_code_id string, sender_application_id string, sign_type string, "
+            "commercial_product_type string, commercial_subproduct_type string",
+        )
+        out = concepts.signed_movements(moves, held, book, ODATE)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_copies_of_a_text_are_dropped_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, "a")], "n int, t string")
     tree = plan_of(textmatch.dedupe_by_text(df, "t", "n")).split("\n\n")[0]
@@ -103,9 +144,9 @@ def test_copies_of_a_text_are_dropped_before_the_shuffle(spark):
 
 def test_top_matches_keep_few_rows_per_task(spark):
     df = spark.createDataFrame([(1, "a")], "n int, t string")
-    plan = plan_of(textmatch.closest(df, "t", "q", 3, "edits", ["n"]))
+    plan = plan_of(textmatch.closest(df, "t", "q", 3, ["n"]))
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
-    each = plan_of(textmatch.closest_each(df, "t", ["q", "r"], 3, "edits", ["n"])).split("\n\n")[0]
+    each = plan_of(textmatch.closest_each(df, "t", ["q", "r"], 3, ["n"])).split("\n\n")[0]
     assert each.count("WindowGroupLimit") == 2
 
 

@@ -139,3 +139,18 @@ def test_distinct_values(spark, rows):
         ("f", "aa", 2, 2), ("f", "b", 1, 1), ("g", None, None, 1),
     ]
     assert rows(profiling.value_digest(df, "field", "bad")) == [("f", 2, 2), ("g", 1, None)]
+
+
+def test_a_date_rule_takes_dates_only(spark):
+    df = spark.createDataFrame([("2022-01-31",)], "d string").selectExpr("CAST(d AS DATE) AS d")
+    assert quality.evaluate(df, [quality.DateEquals(column="d", value="2022-01-31T00:00:00")]).first()["status"] == "OK"
+    for bad in ("2022-01-31 10:00:00", "31/01/2022", "2022-01-31x"):
+        with pytest.raises(ValueError):
+            quality.evaluate(df, [quality.DateEquals(column="d", value=bad)])
+
+
+def test_a_control_input_holds_one_row(spark):
+    df = spark.range(3)
+    for control in (spark.createDataFrame([(3,), (5,)], "expected bigint"), spark.createDataFrame([], "expected bigint")):
+        with pytest.raises(Exception, match="needs one control row"):
+            quality.evaluate(df, [quality.MatchesControlCount(control=control)]).collect()

@@ -1,5 +1,4 @@
 import re
-from difflib import SequenceMatcher
 
 import pytest
 
@@ -55,32 +54,15 @@ def test_dedupe_keeps_the_first_copy(spark, rows):
     ]
 
 
-@pytest.mark.parametrize("top", [1, 3, 50])
-def test_closest_by_ratio_equals_brute_force(spark, top):
-    texts = [
-        "how does a master help the team", "what is a sprint", "how does the team help", "",
-        "who owns the backlog", "how is value provided", "HOW DOES A MASTER HELP THE TEAM", "x" * 300,
-    ]
-    question = "how does the master provide value to the team"
-    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
-    got = [(r["n"], r["score"]) for r in textmatch.closest(df, "t", question, top, tie_break=["n"]).collect()]
-    want = sorted(
-        ((i, SequenceMatcher(None, question, t).ratio()) for i, t in enumerate(texts)),
-        key=lambda p: (-p[1], p[0]),
-    )[:top]
-    assert got == want
-
-
 def test_closest_each_equals_one_by_one(spark, rows):
     df = spark.createDataFrame(
         [(i, t) for i, t in enumerate("alpha beta gamma delta alphabet gamut".split())], "n int, t string"
     )
     questions = ["alpha", "gam"]
-    for scorer in ("ratio", "edits"):
-        each = textmatch.closest_each(df, "t", questions, 2, scorer, ["n"])
-        want = [
-            (q, place + 1, r["n"], r["score"])
-            for q in questions
-            for place, r in enumerate(textmatch.closest(df, "t", q, 2, scorer, ["n"]).collect())
-        ]
-        assert rows(each, "question", "place", "n", "score") == sorted(want, key=repr)
+    each = textmatch.closest_each(df, "t", questions, 2, ["n"])
+    want = [
+        (q, place + 1, r["n"], r["score"])
+        for q in questions
+        for place, r in enumerate(textmatch.closest(df, "t", q, 2, ["n"]).collect())
+    ]
+    assert rows(each, "question", "place", "n", "score") == sorted(want, key=repr)

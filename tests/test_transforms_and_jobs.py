@@ -101,10 +101,3 @@ def test_declared_join_filters_the_right_side_first(spark, rows):
     right = spark.createDataFrame([("b1", "9047"), ("b1", "1000"), ("b2", "1000")], "id string, kind string")
     out = lookups.join_filtered(left, right, {"branch": "id"}, right_filter="kind = '9047'")
     assert rows(out) == [("b1", 1)]
-
-
-def test_lookup_beyond_the_bound_is_not_marked(spark):
-    df = spark.range(10)
-    assert lookups.fits_broadcast(df, 10) and not lookups.fits_broadcast(df, 9)
-    plan = lookups.broadcast_if_small(df, False)
-    assert plan is df
