@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.memory import lean
+
 LEAST_BLOCK = 4 << 20
 MOST_BLOCK = 512 << 20
 #: Bytes of text behind one message from a block to a bucket, on average.
@@ -53,6 +55,7 @@ def shared_features(texts: DataFrame, count: int, features: Callable[[pa.Table],
     share bucket and stand-in count as one; that may only add features to the answer.
     """
 
+    @lean
     def sent(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         keys, times = np.unique(joint_keys(features(table), count), return_counts=True)
@@ -63,6 +66,7 @@ def shared_features(texts: DataFrame, count: int, features: Callable[[pa.Table],
         piece = lambda x: pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary())
         return pa.table({"bucket": pa.array(full, pa.int32()), "block": pa.array([block] * len(full), pa.int32()), "short": piece(short), "times": piece(times)})
 
+    @lean
     def answered(table: pa.Table) -> pa.Table:
         shorts = [np.frombuffer(x.as_py(), "<u4") for x in table.column("short")]
         times = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("times")]).astype(np.uint64)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import blocks, rolling
+from ledgerloom.llm.memory import lean
 from ledgerloom.session import scratch_path
 
 N = 5
@@ -69,6 +70,7 @@ def class_table(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
         sets, *_ = _classes(table, n)
         return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
 
+    @lean
     def prepared(table: pa.Table, answers: pa.Table) -> pa.Table:
         sets, marks, sizes = _classes(table, n)
         ids = table.column("doc_id")

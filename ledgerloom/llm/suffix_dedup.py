@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm import blocks, rolling
+from ledgerloom.llm.memory import lean
 
 LENGTH = 100
 GRAM = 16
@@ -209,6 +210,7 @@ SPANS = "block int, doc int, start bigint, stop bigint"
 def _segments(texts: DataFrame, answers: DataFrame, count: int) -> DataFrame:
     """Text around shared anchors, once per block; repeats inside a block come as finished spans (``bytes`` null, ``low`` to ``high`` the span)."""
 
+    @lean
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
         own = Block(table)
         doc, first, last, anchor, mark = own.runs()
@@ -248,6 +250,7 @@ def _segments(texts: DataFrame, answers: DataFrame, count: int) -> DataFrame:
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(cut, SEGMENTS)
 
 
+@lean
 def _sorted_bucket(table: pa.Table) -> pa.Table:
     """Spans of a bucket's strings that have an earlier equal."""
     column = lambda c: table.column(c).to_numpy()
@@ -281,6 +284,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     inside = segments.where("bytes is null").selectExpr("block", "doc", "anchor as start", "anchor + high as stop")
     spans = found.unionByName(inside)
 
+    @lean
     def removed(table: pa.Table, spans: pa.Table) -> pa.Table:
         own = Block(table)
         doc = spans.column("doc").to_numpy()
