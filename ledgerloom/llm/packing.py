@@ -15,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.memory import lean, release
 from ledgerloom.llm.tokens import WordTokenizer, default_tokenizer
 from ledgerloom.session import scratch_path
 
@@ -27,8 +27,6 @@ END = 1
 SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
 SHARD_BITS = 32
-#: Texts tokenized at a time, in characters.
-SLICE = 2_000_000
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
@@ -40,14 +38,16 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
         tail = np.array([end], "<u2")
         names = ["doc_id", "ids", "n", "found"]
         for batch in batches:
-            texts = batch.column("text")
-            lengths = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)) // SLICE
-            for a, b in _runs(lengths):
-                ids = [np.concatenate([x, tail]) for x in words([x.as_py() or "" for x in texts[a:b]])]
+            for a, run in words.encode(batch.column("text")):
+                ids = [np.concatenate([x, tail]) for x in run]
                 for x in ids:
-                    found[np.unique(x)] += 1
-                columns = [batch.column("doc_id").slice(a, b - a), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.nulls(b - a, pa.list_(pa.int64()))]
+                    seen = np.sort(x)
+                    found[seen[np.flatnonzero(seen[1:] != seen[:-1])]] += 1
+                    found[seen[-1]] += 1
+                columns = [batch.column("doc_id").slice(a, len(ids)), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.nulls(len(ids), pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        del words
+        release()
         counts = pa.array([found.tolist()], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.nulls(1, docs_id), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), counts], names)
 
@@ -55,12 +55,6 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(encode, "doc_id bigint, ids binary, n bigint, found array<bigint>")
 
 
-def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
-    if len(values):
-        edges = np.flatnonzero(np.diff(values)) + 1
-        yield from zip([0, *edges.tolist()], [*edges.tolist(), len(values)], strict=True)
-
-
 class Index:
     """BM25 inverted index over some documents' tokens, under given term weights."""
 
@@ -169,6 +163,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
         idf[term] = max(0.0, math.log((n_docs - df + 0.5) / (df + 0.5)))
     mean, shards = max(1.0, n_tokens / max(1, n_docs)), max(1, math.ceil(n_tokens / shard_tokens))
 
+    @lean
     def packed(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         shard = table.column("shard")[0].as_py()
