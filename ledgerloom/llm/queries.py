@@ -66,10 +66,26 @@ def op6_quality_cascade(spark, sf):
         *quality_rules.BASE_FEATURES,
         base_failed.alias("base_failed"),
         (~base_failed & F.col("rejected_by").isNull()).alias("kept"),
-        "rejected_by",
     )
 
 
+ORACLES["op6_quality_cascade"] = r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t,
+  list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id),
+f AS (SELECT w.doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+  length(regexp_replace(t, '\P{Lu}', '', 'g')) AS n_upper FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 5 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words
+       OR word_chars > 14 * n_words OR 2 * n_upper > word_chars) AS kept FROM b"""
+
+
 @query
 def op7_systematic_mix(spark, sf):
     docs = _documents(spark, sf).select("doc_id", "source", text.word_count(F.col("text")).alias("words"))

@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +194,15 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in want.description]
+    got = queries.QUERIES[name](spark, SF)
+    assert got.columns == columns
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
