@@ -83,7 +83,8 @@ GROUP = re.compile(r"[+(]{0,2}[0-9]+")
 AT = r"(?: ?[\[(]at[\])] ?| at | ?@ ?)"
 DOT = r"(?: ?[\[(]dot[\])] ?| dot | ?\. ?)"
 SPELLED = re.compile(rf"[A-Za-z0-9_%+-]{{1,64}}(?:{DOT}[A-Za-z0-9_%+-]{{1,64}}){{0,3}}{AT}[A-Za-z0-9-]{{1,64}}(?:{DOT}[A-Za-z0-9-]{{1,64}}){{1,4}}", re.I)
-SPELLED_MARK = re.compile(r"@|[\[(]at[\])]| dot ", re.I)
+#: The end of every spelled address; texts without it are passed over.
+SPELLED_MARK = re.compile(rf"{AT}[A-Za-z0-9-]{{1,64}}{DOT}[A-Za-z0-9-]", re.I)
 WORD = re.compile(r"[A-Za-z0-9_%+-]+")
 
 
@@ -130,9 +131,9 @@ def features(w: Window, i: int, j: int) -> list[int] | None:
             return None
         dots = len(re.findall(DOT, piece, re.I))
         last = piece[w.starts[j] - a :]
-        dotted = 1 if re.search(r"\bdot\b", piece, re.I) else 2 if re.search(r"\.\s|\s\.", piece) else 3
+        dotted = 1 if re.search(r"[\[(]dot[\])]| dot ", piece, re.I) else 2 if re.search(r"\.\s|\s\.", piece) else 3
         local = 30 if "@" in piece else 31 if re.search(r"[\[(]at[\])]", piece, re.I) else 32
-        return [33, dotted, local, 34 + min(dots, 3), 38 if last.isalpha() and 2 <= len(last) <= 6 else 39, 40 if i == 0 else 41, 42 if j == len(w.starts) - 1 else 43, tight]
+        return [33, dotted, local, 4 + 3 * (dotted - 1) + local - 30, 34 + min(dots, 3), 38 if last.isalpha() and 2 <= len(last) <= 6 else 39, 40 if i == 0 else 41, 42 if j == len(w.starts) - 1 else 43, tight]
     digits = "".join(c for c in piece if c.isdigit())
     n, k = len(digits), j - i + 1
     if not 4 <= n <= 22:

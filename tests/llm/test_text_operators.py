@@ -177,6 +177,22 @@ def test_the_random_field_adds_what_patterns_miss(weights):
     assert not any(x < b and a < y for a, b, _ in added for x, y, _ in base)
 
 
+def test_every_spelled_form_is_found_alone(weights):
+    """Each writing of the at-sign with each writing of the dot, with no other mark in the text."""
+    for at in (" at ", "(at)", " (at) ", "[at]", " [at] ", "@", " @ ", " AT "):
+        for dot in (" dot ", "(dot)", " (dot) ", "[dot]", " [dot] ", ".", " DOT "):
+            address = f"jo{at}mailhost{dot}org"
+            text = f"please write to {address} today"
+            start = text.index(address)
+            found = list(pii.windows(text, []))
+            assert len(found) == 1 and found[0].spelled and found[0].ends[-1] >= start + len(address), text
+            base, added = pii.find(text, weights)
+            if (at, dot) != ("@", "."):  # the pattern's own
+                assert (start, start + len(address), 0) in added, (text, added)
+    for text in ("we met at noon. then we left", "open at 10.30 today", "sold at 3.5 million", "look at version 2.0 now", "We stayed at home.\nLater it rained"):
+        assert pii.find(text, weights)[1] == [], text
+
+
 def test_plain_numbers_are_left_alone(weights):
     for text in ("In 2021-03-04 it cost 12 500 000 for 3.14.15 units", "order 1234567 and 99 88 77", "version 1.2.3.4.5.6", "no numbers at all, meet at home. dot", ""):
         assert pii.find(text, weights)[1] == [], text
