@@ -22,7 +22,10 @@ S = 2
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Hashes of the anchors in order; a text of fewer than ``k`` words is one anchor, one without words has none."""
+    """Hashes of the anchors in order; a text of fewer than ``k`` words is one anchor, one without words has none.
+
+    A longer text without an anchor has the smallest hash of its runs, so that only texts without words have none.
+    """
     if not 2 <= s < k:
         raise ValueError("2 <= s < k is needed")
     span = k - s + 1
@@ -33,7 +36,11 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
             whole = i <= F.size(inner) - span
             return F.when(whole & (F.array_min(run) == F.least(first, F.get(inner, i + (span - 1)))), F.hash(run))
 
-        return F.filter(F.transform(inner, pick), lambda x: x.isNotNull())
+        def or_smallest(found: Column) -> Column:
+            runs = F.transform(F.sequence(F.lit(0), F.size(inner) - span), lambda i: F.hash(F.slice(inner, i + 1, span)))
+            return F.when(F.size(found) == 0, F.array(F.array_min(runs))).otherwise(found)
+
+        return let(F.filter(F.transform(inner, pick), lambda x: x.isNotNull()), or_smallest)
 
     def of_words(word: Column) -> Column:
         hashed = F.transform(word, lambda x, i: F.xxhash64(x, *[F.get(word, i + j) for j in range(1, s)]))

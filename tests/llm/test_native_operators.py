@@ -137,6 +137,26 @@ def test_anchors_are_closed_syncmers(spark):
     assert got == [r.h for r in frame.collect()] and 60 < len(got) < 160
 
 
+def test_every_text_with_words_has_an_anchor(spark):
+    """Texts of 8 to 12 words may have no closed run; their smallest hash stands in, and unrelated ones are not alike."""
+    rng = random.Random(4)
+    texts = [[f"w{rng.randint(0, 10**6)}" for _ in range(n)] for n in range(8, 14) for _ in range(40)]
+    pairs = sorted({tuple(t[i : i + 2]) for t in texts for i in range(len(t) - 1)})
+    hashed = {(r.a, r.b): r.h for r in spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.xxhash64("a", "b").alias("h")).collect()}
+    all_runs = [[[hashed[p] for p in zip(t[i : i + 7], t[i + 1 : i + 8], strict=True)] for i in range(len(t) - 7)] for t in texts]
+    frame = spark.createDataFrame([(r,) for runs in all_runs for r in runs], "r array<bigint>").select("r", F.hash("r").alias("h"))
+    hash_of = {tuple(r.r): r.h for r in frame.collect()}
+    want = [[hash_of[tuple(r)] for r in _plain_anchors(t, 8, 2, hashed)] or [min(hash_of[tuple(r)] for r in runs)] for t, runs in zip(texts, all_runs, strict=True)]
+    a = syncmers.anchors(F.col("a"))
+    df = spark.createDataFrame([(" ".join(t), " ".join(o)) for t, o in zip(texts, texts[1:] + texts[:1], strict=True)], "a string, b string")
+    rows = df.select(a, syncmers.likeness(a, syncmers.anchors(F.col("b"))), syncmers.likeness(a, syncmers.anchors(F.lit(" "))), syncmers.likeness(a, a)).collect()
+    assert [r[0] for r in rows] == want
+    assert sum(not _plain_anchors(t, 8, 2, hashed) for t in texts) > 40
+    assert all(tuple(r[1:]) == (0.0, 0.0, 1.0) for r in rows)
+    blank = spark.createDataFrame([("", " \n")], "a string, b string").select(syncmers.likeness(a, syncmers.anchors(F.col("b"))))
+    assert blank.first()[0] == 1.0
+
+
 def test_edits_move_no_anchor_outside_their_reach(spark):
     words = [f"w{i * 7919 % 1000}" for i in range(300)]
     edited = [*words[:150], "new", "words", "here", *words[150:]]
