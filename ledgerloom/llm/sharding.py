@@ -23,7 +23,7 @@ SHARDS = 8
 PARTITIONS = 128
 BLOCKS = 16
 SEED = 9
-#: numpy draws hypergeometric counts below 10**9 rows; larger tables are drawn in regions.
+#: numpy draws hypergeometric counts below 10**9 rows; above this the law is summed up around its mode.
 REGION_ROWS = 500_000_000
 
 
@@ -32,31 +32,40 @@ def split_evenly(total: int, parts: int) -> np.ndarray:
     return np.full(parts, total // parts, np.int64) + (np.arange(parts) < total % parts)
 
 
+def draw_of_many(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
+    """A hypergeometric count for any total: the law's ratios summed over 12 deviations on both sides of the mode."""
+    least, most, total = max(0, drawn - bad), min(good, drawn), good + bad
+    if least == most:
+        return least
+    mode = min(max((drawn + 1) * (good + 1) // (total + 2), least), most)
+    reach = 20 + int(12 * (drawn * (good / total) * (bad / total) * ((total - drawn) / max(1, total - 1))) ** 0.5)
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    x = np.arange(low, high, dtype=np.float64)
+    ratio = np.log(good - x) + np.log(drawn - x) - np.log(x + 1) - np.log(bad - drawn + x + 1)
+    law = np.concatenate([[0.0], np.cumsum(ratio)])
+    law = np.cumsum(np.exp(law - law.max()))
+    return low + int(np.searchsorted(law, rng.random() * law[-1], side="right"))
+
+
 def communication_matrix(counts: np.ndarray, room: np.ndarray, seed: int, region_rows: int = REGION_ROWS) -> np.ndarray:
     """Rows that each partition sends to each block; row sums ``counts``, column sums ``room``.
 
-    Partitions are drawn in regions of at most ``region_rows`` rows.  A region's share of
-    every block is its exact proportion, rounded so that nothing is lost.
+    Every partition draws from all room that is left, by one law at every size; only how a
+    count is drawn changes above ``region_rows`` rows.
     """
     rng = np.random.default_rng(seed)
     matrix = np.zeros((len(counts), len(room)), np.int64)
-    left, at = room.astype(np.int64), 0
-    while at < len(counts):
-        end = at + 1
-        while end < len(counts) and counts[at : end + 1].sum() <= region_rows:
-            end += 1
-        size, all_left = int(counts[at:end].sum()), int(left.sum())
-        share = left.copy()
-        if size < all_left:
-            exact = [int(x) * size for x in left]
-            share = np.array([x // all_left for x in exact], np.int64)
-            short = np.argsort([-(x % all_left) for x in exact], kind="stable")[: size - int(share.sum())]
-            share[short] += 1
-        left = left - share
-        for i in range(at, end):
-            matrix[i] = rng.multivariate_hypergeometric(share, int(counts[i]), method="marginals")
-            share = share - matrix[i]
-        at = end
+    left = room.astype(np.int64)
+    for i, count in enumerate(counts):
+        if left.sum() <= region_rows:
+            matrix[i] = rng.multivariate_hypergeometric(left, int(count), method="marginals")
+        else:
+            drawn, others = int(count), int(left.sum())
+            for j, good in enumerate(left.tolist()):
+                others -= good
+                matrix[i, j] = draw_of_many(rng, good, others, drawn)
+                drawn -= int(matrix[i, j])
+        left = left - matrix[i]
     return matrix
 
 

@@ -92,6 +92,17 @@ def test_matrix_follows_the_hypergeometric_law():
     assert abs(draws.mean() - 15) < 0.2 and abs(draws.var() - 30 * 0.25 * 70 / 99) < 0.5
 
 
+def test_large_tables_follow_the_same_law():
+    """Above the size that numpy draws, shares of blocks vary as they do below it."""
+    counts, room = np.array([300, 300, 300, 300]), np.array([400, 400, 400])
+    for region in (600, 100):
+        first = np.array([sharding.communication_matrix(counts, room, s, region)[:2, 0].sum() for s in range(2000)])
+        assert abs(first.mean() - 200) < 1
+        assert 0.9 < first.var() / (600 * (1 / 3) * (2 / 3) * 600 / 1199) < 1.1
+    big = sharding.communication_matrix(np.full(4, 10**9), np.full(4, 10**9), 1)
+    assert (big.sum(axis=0) == 10**9).all() and (big.sum(axis=1) == 10**9).all() and len(set(big.ravel().tolist())) > 4
+
+
 def test_shards_are_even_gapless_and_uniform(spark, documents):
     docs = documents(*[(i, f"t{i % 5}") for i in range(2000)], (None, None), (7, "t2"), (7, "t2"))
     out = sharding.shuffle_into_shards(docs, partitions=8, blocks=3).select("row.doc_id", "shard", "slot").collect()
