@@ -8,18 +8,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerloom.llm import rolling
 
-#: Words in each of the two generations of a task's cache, some 200 bytes each.
-CACHED_WORDS = 120_000
+#: Units a task remembers before it forgets those that the last texts did not hold, some 40 bytes each.
+CACHED_WORDS = 240_000
+#: New units of letters encoded at a time.
+TOGETHER = 1000
 #: Bytes of text whose words are told apart at a time.
-SLICE = 4 << 20
-#: ASCII letters, and ASCII punctuation but the apostrophe, which may be one with the letter behind it.
-IS_LETTER, IS_MARK = np.zeros(256, bool), np.zeros(256, bool)
-IS_LETTER[list(string.ascii_letters.encode())] = True
-IS_MARK[list(string.punctuation.replace("'", "").encode())] = True
-LATIN_END = "\u0100"
+SLICE = 16 << 20
+#: Kinds of bytes: white space, ASCII letters, ASCII punctuation but the apostrophe (which may be one with the letter
+#: behind it), and all others.
+SPACE, LETTER, MARK, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[rolling.IS_SPACE] = SPACE
+KIND[list(string.ascii_letters.encode())] = LETTER
+KIND[list(string.punctuation.replace("'", "").encode())] = MARK
+#: Whether a unit starts at a byte, by the kinds of the byte before it and of itself (4 * before + itself).
+WORD_START = np.array([b == SPACE != a for b in range(4) for a in range(4)])
+UNIT_START = WORD_START | np.array([{b, a} == {LETTER, MARK} for b in range(4) for a in range(4)])
+#: Characters that the plain steps may get wrong.
+NOT_PLAIN = "[^\u0000-\u00ff]"
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def default_tokenizer() -> str:
@@ -52,70 +63,79 @@ class WordTokenizer:
         self.ends = np.zeros(self.size, bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self._remember(pa.array([""], pa.large_string()), self._lists([np.zeros(0, "<u2")]))
+
+    def _remember(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words, self.ids = words, ids
+
+    @staticmethod
+    def _lists(ids: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+        return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, "<u2"), *ids])))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u2") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_letters(self, words: str) -> np.ndarray:
-        return np.array(self.plain.encode_batch_fast([words.lower()], add_special_tokens=False)[0].ids, "<u2")
-
-    def _learn(self, new: set[str]) -> None:
-        letters = [w for w in new if w.isalpha() and max(w) < LATIN_END]
-        for at in range(0, len(letters), 1000):
-            some = letters[at : at + 1000]
-            ids = self._encode_letters(" ".join(some))
-            raw, cut = ids.tobytes(), (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
-            self.words.update(zip(some, [raw[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)], strict=True))
-        rest = list(new.difference(letters))
-        self.words.update(zip(rest, (x.tobytes() for x in self._encode(rest)), strict=True))
-
-    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words, cut once more between letters and marks, where a token always ends."""
-        starts, ends, first = rolling.word_spans(data, offsets)
-        if b"<|" not in data.tobytes():  # else a special token may stand in the text
-            letter, mark = IS_LETTER[data], IS_MARK[data]
-            inside = 1 + np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:]))
-            inside = np.setdiff1d(inside, starts, assume_unique=True)
-            starts, ends = np.sort(np.concatenate([starts, inside])), np.sort(np.concatenate([ends, inside]))
-            first = np.searchsorted(starts, offsets)
-        return starts, ends, first
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Two-byte ids of distinct words."""
-        if len(self.words) > CACHED_WORDS:  # words still in use move on, the others go with their generation
-            self.older, self.words = self.words, {"": b""}
-        new = set(words) - self.words.keys()
-        met = new & self.older.keys()
-        self.words.update((w, self.older[w]) for w in met)
-        new -= met
-        if new:
-            self._learn(new)
-        return list(map(self.words.__getitem__, words))
+    def _encode_letters(self, words: pa.Array) -> pa.Array:
+        """Ids of words of letters, many at a time: the tokens that end a word tell them apart."""
+        cuts = [*range(0, len(words), TOGETHER), len(words)]
+        texts = [" ".join(words[a:b].to_pylist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        ids = [np.array(e.ids, "<u2") for e in self.plain.encode_batch_fast([t.lower() for t in texts], add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, "<u2"), *ids])
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        return pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids))
+
+    def _learned(self, new: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """New units in the order in which their ids are found."""
+        plain = pc.and_(pc.utf8_is_alpha(new), pc.invert(pc.match_substring_regex(new, NOT_PLAIN)))
+        letters, rest = new.filter(plain), new.filter(pc.invert(plain))
+        return pa.concat_arrays([letters, rest]), pa.concat_arrays([self._encode_letters(letters), self._lists(self._encode(rest.to_pylist()))])
+
+    @staticmethod
+    def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes in lower case and starts of the units: words, cut once more between letters and marks, where a token always ends."""
+        kind = KIND[data]
+        before = np.empty_like(kind)
+        before[:1] = SPACE
+        before[1:] = kind[:-1]
+        before[offsets[:-1][offsets[:-1] < len(data)]] = SPACE
+        # Where a special token may stand in the text, words stay whole and as they are.
+        special = b"<|" in data.tobytes()
+        table = WORD_START if special else UNIT_START
+        return data if special else rolling.LOWER[data], np.flatnonzero(table[before << 2 | kind])
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Two-byte ids of each of the words, as lists."""
+        place = pc.index_in(words, self.words)
+        if place.null_count:
+            new = words.filter(pc.is_null(place)).unique()
+            if len(self.words) + len(new) > CACHED_WORDS:  # words still in use stay, the others go
+                used = place.drop_null().unique()
+                self._remember(self.words.take(used), self.ids.take(used))
+            new, ids = self._learned(new)
+            self._remember(pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids]))
+            place = pc.index_in(words, self.words)
+        return self.ids.take(place)
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         """For each run of texts: the first one's place, and two-byte ids of each; null texts are empty.
 
-        Distinct words are found by a 64-bit hash over the bytes and spread back over the texts by numpy.
+        A run's bytes, cut at the starts of its units, are an Arrow array as they stand; its dictionary holds each
+        distinct unit once, and its indexes spread their ids back over the texts.
         """
         data, offsets = rolling.text_bytes(texts)
         for a, b in rolling.chunks(offsets, SLICE):
             part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            starts, ends, first = self._cut(part, at)
-            marks = np.zeros(len(starts), np.uint64)
-            for i, j in rolling.chunks(at):
-                m, n, base = first[i], first[j], at[i]
-                marks[m:n] = rolling.word_hashes(part[base : at[j]], starts[m:n] - base, ends[m:n] - base)
-            _, index, place = np.unique(marks, return_index=True, return_inverse=True)
-            raw = part.tobytes()
-            found = self._ids([raw[s:e].decode() for s, e in zip(starts[index].tolist(), ends[index].tolist(), strict=True)])
-            size = np.array([len(x) for x in found], np.int64) // 2
-            begin = np.cumsum(size) - size
-            count = size[place]
-            stop = np.concatenate([[0], np.cumsum(count)])
-            ids = np.frombuffer(b"".join(found), "<u2")[np.repeat(begin[place] - stop[:-1], count) + np.arange(stop[-1])]
-            cut = stop[first].tolist()
+            part, starts = self._units(part, at)
+            edges = np.concatenate([starts, [len(part)]]).astype(np.int64)
+            units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(part))])
+            coded = units.dictionary_encode()
+            # A unit carries the white space behind it.
+            words = pc.ascii_rtrim(coded.dictionary.cast(pa.large_string()), characters=WHITE)
+            spread = self._ids(words).take(coded.indices)
+            ids, stop = spread.flatten().to_numpy(), spread.offsets.to_numpy()
+            stop = stop - stop[0]
+            cut = stop[np.searchsorted(starts, at)].tolist()
             yield a, [ids[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
