@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import mil_classifier, mixing, ngram_join, packing, pii, quality_rules, sharding, suffix_dedup, syncmers, text, warc
+from ledgerloom.llm import (
+    divergence,
+    mil_classifier,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    syncmers,
+    text,
+    token_files,
+    vector_codes,
+    warc,
+)
 from ledgerloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +130,73 @@ def op9_hypergeometric_shards(spark, sf):
 @query
 def op10_ngram_join(spark, sf):
     return ngram_join.near_duplicate_groups(_documents(spark, sf))
+
+
+@query
+def op11_walsh_vector_codes(spark, sf):
+    return vector_codes.compressed(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def _vector_code_sql(rounds: int = 6) -> str:
+    """Every round as two steps: parts to their nearest entries, entries to the floor of their parts' mean."""
+    steps = [
+        r"""k AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS r,
+  list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "p AS (SELECT r, j, v[j * len(v) // 8 + 1 : (j + 1) * len(v) // 8] AS q FROM k, (SELECT unnest(range(8)) AS j))",
+        "c0 AS (SELECT j, r - 1 AS e, q AS c FROM p WHERE r <= 16)",
+    ]
+    for i in range(rounds + 1):
+        distance = "list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        steps.append(f"a{i} AS (SELECT r, p.j, min({distance} * 16 + e) AS m FROM p JOIN c{i} ON p.j = c{i}.j GROUP BY r, p.j)")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT j, e, at, sum(x) AS s, count(*) AS n FROM (SELECT p.j, m % 16 AS e, unnest(q) AS x,
+  unnest(range(len(q))) AS at FROM p JOIN a{i} ON p.r = a{i}.r AND p.j = a{i}.j) GROUP BY j, e, at)""")
+            steps.append(f"u{i} AS (SELECT j, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY at) AS c FROM s{i} GROUP BY j, e)")
+            steps.append(f"c{i + 1} AS (SELECT o.j, o.e, coalesce(u.c, o.c) AS c FROM c{i} o LEFT JOIN u{i} u ON o.j = u.j AND o.e = u.e)")
+    steps += [
+        f"f AS (SELECT r, string_agg(printf('%02x', CAST(m % 16 AS INTEGER)), '' ORDER BY j) AS code, CAST(sum(m // 16) AS BIGINT) AS error FROM a{rounds} GROUP BY r)",
+        f"h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY j, e)) AS h FROM c{rounds})",
+    ]
+    return "WITH " + ",\n".join(steps) + """
+SELECT k.vec_id, f.code, f.error, CAST(sum(f.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+  (SELECT h FROM h) AS codebooks_sha256 FROM k JOIN f ON k.r = f.r"""
+
+
+ORACLES["op11_walsh_vector_codes"] = _vector_code_sql()
+
+
+@query
+def op12_patched_frame_files(spark, sf):
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(_documents(spark, sf), path)
+    return token_files.read_documents(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_source_divergence(spark, sf):
+    return divergence.audit(_documents(spark, sf))
+
+
+ORACLES["op13_source_divergence"] = r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+w AS (SELECT r, lang, source, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+      FROM (SELECT r, lang, source, unnest(t) AS x FROM d)),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, source, w.term),
+t AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+x AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+  CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (t.n + 2 * v.v) AS BIGINT) AS p,
+  CAST(1 + CAST(1000000000 AS HUGEINT) * (k.n + 2) // (v.n + 2 * v.v) AS BIGINT) AS q
+  FROM t JOIN v ON t.lang = v.lang JOIN k ON t.lang = k.lang LEFT JOIN c ON t.lang = c.lang AND t.source = c.source AND k.term = c.term),
+s AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+      FROM x JOIN x y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+p AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+m AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM x WHERE n > 0 AND p > q),
+z AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+      FROM (SELECT * FROM p UNION ALL SELECT * FROM m))
+SELECT lang, source, part, item, value, rank FROM z WHERE part = 'pair' OR rank <= 10"""

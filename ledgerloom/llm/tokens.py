@@ -17,7 +17,7 @@ CACHED_WORDS = 240_000
 #: New units of letters encoded at a time.
 TOGETHER = 1000
 #: Bytes of text whose words are told apart at a time.
-SLICE = 16 << 20
+SLICE = 8 << 20
 #: Kinds of bytes: white space, ASCII letters, ASCII punctuation but the apostrophe (which may be one with the letter
 #: behind it), and all others.
 SPACE, LETTER, MARK, OTHER = range(4)
