@@ -150,9 +150,9 @@ def _vector_code_sql(rounds: int = 6) -> str:
         distance = "list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
         steps.append(f"a{i} AS (SELECT r, p.j, min({distance} * 16 + e) AS m FROM p JOIN c{i} ON p.j = c{i}.j GROUP BY r, p.j)")
         if i < rounds:
-            steps.append(f"""s{i} AS (SELECT j, e, at, sum(x) AS s, count(*) AS n FROM (SELECT p.j, m % 16 AS e, unnest(q) AS x,
-  unnest(range(len(q))) AS at FROM p JOIN a{i} ON p.r = a{i}.r AND p.j = a{i}.j) GROUP BY j, e, at)""")
-            steps.append(f"u{i} AS (SELECT j, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY at) AS c FROM s{i} GROUP BY j, e)")
+            steps.append(f"""s{i} AS (SELECT j, e, place, sum(x) AS s, count(*) AS n FROM (SELECT p.j, m % 16 AS e, unnest(q) AS x,
+  unnest(range(len(q))) AS place FROM p JOIN a{i} ON p.r = a{i}.r AND p.j = a{i}.j) GROUP BY j, e, place)""")
+            steps.append(f"u{i} AS (SELECT j, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS c FROM s{i} GROUP BY j, e)")
             steps.append(f"c{i + 1} AS (SELECT o.j, o.e, coalesce(u.c, o.c) AS c FROM c{i} o LEFT JOIN u{i} u ON o.j = u.j AND o.e = u.e)")
     steps += [
         f"f AS (SELECT r, string_agg(printf('%02x', CAST(m % 16 AS INTEGER)), '' ORDER BY j) AS code, CAST(sum(m // 16) AS BIGINT) AS error FROM a{rounds} GROUP BY r)",
