@@ -21,9 +21,9 @@ def normalised(column: Column | str) -> Column:
 
 
 def edit_similarity(column: Column | str, text: str) -> Column:
-    """``1 - edits / longer length``, computed inside the JVM."""
+    """``1 - edits / longer length``, computed inside the JVM; null for a null text."""
     other = F.lit(text)
     longest = F.greatest(F.length(column), F.length(other))
-    return F.when(longest == 0, F.lit(1.0)).otherwise(
+    return F.when(F.length(column) + F.length(other) == 0, F.lit(1.0)).otherwise(
         F.lit(1.0) - F.levenshtein(column, other) / longest
     )

@@ -537,6 +537,13 @@ FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
     "text_topk_each_question": f"""WITH t AS ({_TALK}), s AS ({_EACH_SCORE})
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS INTEGER) AS place FROM s) r
 WHERE place <= 5""",
+    "text_topk_indexed": f"""WITH t AS ({_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
+FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
+    "text_topk_each_indexed": f"""WITH t AS ({_TALK}), s AS ({_EACH_SCORE})
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS INTEGER) AS place FROM s) r
+WHERE place <= 5""",
+    "text_index_effort": f"""SELECT q.question, (SELECT count(*) FROM conversations) AS rows, TRUE AS spared
+FROM (VALUES {", ".join(f"('{q}')" for q in QUESTIONS)}) AS q(question)""",
     "sink_overwrite_roundtrip": _REQUESTS,
     "csv_to_parquet_roundtrip": _REQUESTS,
     "spark_json_schema_roundtrip": _REQUESTS,

@@ -17,6 +17,7 @@ from ledgerloom.operators import (
     profiling,
     quality,
     snapshots,
+    textindex,
     textmatch,
     transforms,
 )
@@ -840,3 +841,26 @@ QUESTIONS = [QUESTION, "What does the ander of the thering do", "Che la anda"]
 def text_topk_each_question(spark, sf):
     talk = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return textmatch.closest_each(talk, "text", QUESTIONS, 5, ["conv_id", "turn"])
+
+
+def _indexed_talk(spark: SparkSession, sf: str) -> textindex.GramIndex:
+    path = scratch_path(spark, "grams")
+    textindex.store_gram_index(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "text", path)
+    return textindex.GramIndex(spark, path, "text")
+
+
+@query
+def text_topk_indexed(spark, sf):
+    return _indexed_talk(spark, sf).closest(QUESTION, 10, ["conv_id", "turn"])
+
+
+@query
+def text_topk_each_indexed(spark, sf):
+    return _indexed_talk(spark, sf).closest_each(QUESTIONS, 5, ["conv_id", "turn"])
+
+
+@query
+def text_index_effort(spark, sf):
+    """Whether the index spares rows, per question."""
+    effort = _indexed_talk(spark, sf).effort(QUESTIONS, 5)
+    return effort.select("question", "rows", (F.col("scored") < F.col("rows")).alias("spared"))

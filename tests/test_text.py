@@ -1,8 +1,12 @@
+import random
 import re
 
 import pytest
 
-from ledgerloom.operators import textmatch
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import textindex, textmatch
+from tests.conftest import plan_of
 
 RECORDS = [
     "What is it? a) this b) that|a",
@@ -66,3 +70,63 @@ def test_closest_each_equals_one_by_one(spark, rows):
         for place, r in enumerate(textmatch.closest(df, "t", q, 2, ["n"]).collect())
     ]
     assert rows(each, "question", "place", "n", "score") == sorted(want, key=repr)
+
+
+def _indexed(spark, path, texts, **settings):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    textindex.store_gram_index(df, "t", str(path), **settings)
+    return df, textindex.GramIndex(spark, str(path), "t", **settings)
+
+
+def _near_texts():
+    rng = random.Random(8)
+    base = ["the quick brown fox jumps over it", "a slow green turtle sleeps below", "\U0001f600 smile \U0001f600\U0001f601 wide"]
+    out = [None, "", "a", "ab", "abc", "x" * 3000, None]
+    for i in range(150):
+        t = list(rng.choice(base)) if i % 3 else [rng.choice("abc \U0001f600") for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(t))
+            t[at : at + rng.randint(0, 1)] = rng.choice(["", "z", "\U0001f602", "qu"])
+        out.append("".join(t))
+    return out
+
+
+@pytest.mark.parametrize("top", [1, 4, 400])
+def test_indexed_lookup_equals_scoring_every_row(spark, rows, tmp_path, top):
+    df, index = _indexed(spark, tmp_path / "i", _near_texts(), buckets=7)
+    questions = ["the quick brown fox jumps over it", "green turtle", "\U0001f600 smile", "", "zz"]
+    columns = ["n", "t", "question", "score", "place"]
+    assert rows(index.closest_each(questions, top, ["n"]), *columns) == rows(textmatch.closest_each(df, "t", questions, top, ["n"]), *columns)
+    for q in questions:
+        got = [tuple(r) for r in index.closest(q, top, ["n"]).select("n", "t", "score").collect()]
+        assert got == [tuple(r) for r in textmatch.closest(df, "t", q, top, ["n"]).select("n", "t", "score").collect()]
+
+
+def test_bounds_are_never_below_the_score(spark, tmp_path):
+    _, index = _indexed(spark, tmp_path / "i", _near_texts(), q=2)
+    for question in ("a slow green turtle", "\U0001f600\U0001f601", ""):
+        scored = index._scored(index.bounds([question]), [question])
+        assert scored.where("score > bound or (score is null) <> (bound is null)").count() == 0
+
+
+def test_few_rows_are_scored(spark, tmp_path):
+    texts = [f"{'filler' * (i % 40)} {i}" for i in range(2000)] + ["which account was closed last month"] * 3
+    _, index = _indexed(spark, tmp_path / "i", texts)
+    effort = index.effort(["which account was closed last month?", "nothing like it 17"], 3).collect()
+    assert {r.question: (r.rows, r.scored) for r in effort}["which account was closed last month?"] == (2003, 3)
+    assert all(r.scored < r.rows for r in effort)
+
+
+def test_a_lookup_opens_only_its_buckets(spark, tmp_path):
+    _, index = _indexed(spark, tmp_path / "i", ["alpha beta", "gamma delta"] * 20, buckets=32)
+    assert "bucket" in plan_of(index.shared(["abcd"])).split("PartitionFilters")[1].split("]")[0]
+    assert index.shared(["no"]).count() == 0
+    assert {r.b for r in index.grams.select(F.col("bucket").alias("b")).distinct().collect()} <= set(range(32))
+
+
+def test_lookup_in_an_empty_index(spark, tmp_path):
+    df = spark.createDataFrame([], "n int, t string")
+    textindex.store_gram_index(df, "t", str(tmp_path / "i"))
+    index = textindex.GramIndex(spark, str(tmp_path / "i"), "t")
+    assert index.closest("question", 3).count() == 0
+    assert [tuple(r) for r in index.effort(["question"]).collect()] == [("question", 0, 0)]
