@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
+from ledgerloom.sources.files import listed_partitions, read_zone
 
 # The status of a closed contract and the account columns read.
 CLOSED = "T"
@@ -106,6 +107,21 @@ def rows_at_newest(df: DataFrame, column: str, as_of: str | None = None) -> Data
     return df.where(F.col(column) == newest_date(df, column, as_of).scalar())
 
 
+def newest_partition(spark: SparkSession, path: str, column: str, as_of: str | None = None) -> DataFrame:
+    """:func:`newest_date` of a stored table partitioned by ``column``, from the names of its directories.
+
+    No data file is opened.  Directories without files do not count; a null partition has no date.
+    """
+    dates = listed_partitions(spark, path, column).select(F.col("value").cast("date").alias(column))
+    return newest_date(dates, column, as_of)
+
+
+def rows_at_newest_partition(spark: SparkSession, path: str, column: str, as_of: str | None = None) -> DataFrame:
+    """:func:`rows_at_newest` of a stored table partitioned by ``column``: only the newest directory is opened."""
+    newest = newest_partition(spark, path, column, as_of).scalar()
+    return read_zone(spark, path).where(F.col(column) == newest)
+
+
 def current_catalogue(catalogue: DataFrame, as_of: str | None = None) -> DataFrame:
     """The concept catalogue at its newest cutoff (not bounded unless asked)."""
     return rows_at_newest(catalogue, "cutoff_date", as_of)

@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import edit_similarity, normalised
+from ledgerloom.functions.text import edit_similarity, normalised, strip_all
+
+# Fixed value: the line above each record of an exported result list.
+QUESTION_LINE = "Question"
+
+
+def blank_line() -> Column:
+    """Whether a line is blank."""
+    return strip_all("value") == ""
+
+
+def marker_line(marker: str = QUESTION_LINE) -> Column:
+    """Whether a line is the marker."""
+    return strip_all("value") == marker
 
 
 def cut_records(df: DataFrame, text: str, separator: str, *ids: str) -> DataFrame:
@@ -54,6 +67,51 @@ def quarantined_records(records: DataFrame, answer_mark: str = "|") -> DataFrame
     return records.where(marks != 2)
 
 
+def _body(records: DataFrame) -> DataFrame:
+    """Records of several lines with ``_body``, their lines that are not blank."""
+    return records.withColumn("_body", F.filter("lines", lambda line: strip_all(line) != ""))
+
+
+def split_blocks(records: DataFrame) -> DataFrame:
+    """Records between blank lines as ``file, first_line, questions, options, answers``.
+
+    The first line is the question and the others are its options, one per line; no answer is marked, so it is empty.
+    Pass records gathered with a border at blank lines (:func:`blank_line`).
+    """
+    good = _body(records).where(F.size("_body") > 1)
+    options = F.array_join(F.slice("_body", 2, F.size("_body")), "\n")
+    return good.select("file", "first_line", F.get("_body", 0).alias("questions"), options.alias("options"), F.lit("").alias("answers"))
+
+
+def quarantined_blocks(records: DataFrame) -> DataFrame:
+    """Records between blank lines with a question alone, and those too long to be gathered, unchanged."""
+    bad = F.col("lines").isNull() | (F.size("_body") == 1)
+    return _body(records).where(bad).drop("_body")
+
+
+def _marked_halves(records: DataFrame, marker: str) -> tuple[DataFrame, Column]:
+    body = F.when(strip_all(F.get("lines", 0)) == marker, F.array_join(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), "\n"))
+    staged = records.withColumn("_halves", F.split(body, "\t"))
+    return staged, F.coalesce(F.size("_halves") == 2, F.lit(False))
+
+
+def split_marked(records: DataFrame, marker: str = QUESTION_LINE) -> DataFrame:
+    """Records below marker lines as ``file, first_line, questions, options, answers``.
+
+    A good record holds exactly one tab, with the question before it and the answers behind it; there are no options.  Pass
+    records gathered with a border at the marker (:func:`marker_line`).
+    """
+    staged, good = _marked_halves(records, marker)
+    halves = [F.get("_halves", 0).alias("questions"), F.lit("").alias("options"), F.get("_halves", 1).alias("answers")]
+    return staged.where(good).select("file", "first_line", *halves)
+
+
+def quarantined_marked(records: DataFrame, marker: str = QUESTION_LINE) -> DataFrame:
+    """Records without exactly one tab, lines before the first marker, and records too long to be gathered, unchanged."""
+    staged, good = _marked_halves(records, marker)
+    return staged.where(~good).drop("_halves")
+
+
 def dedupe_by_text(df: DataFrame, text: str, *order: Column | str) -> DataFrame:
     """One row per normalised text, the first in ``order``; the text comes out normalised.
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the directory name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_delimited(
     spark: SparkSession,
@@ -125,3 +130,31 @@ def partitions_present(df: DataFrame, column: str, values: list[str]) -> DataFra
     return asked.join(found, "value", "left").select(
         "value", F.coalesce("found", F.lit(False)).alias("present")
     )
+
+
+def listed_partitions(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """``value, files, bytes`` of every partition directory of ``column`` that holds a file, from the listing alone.
+
+    No data file is opened.  A directory without files, or with empty ones only, is no partition; the value of a null
+    partition is null.  Values are text, as in the directory's name.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .where(F.col("length") > 0)
+        .select("path", "length")
+    )
+    raw = F.regexp_extract("path", f"/{re.escape(column)}=([^/]*)/", 1)
+    # Directory names hold special characters as in addresses, where a plus sign stands for itself.
+    value = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    found = listed.where(F.col("path").contains(f"/{column}="))
+    named = found.select(F.when(raw != NULL_PARTITION, value).alias("value"), "length")
+    return named.groupBy("value").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+def listed_partitions_present(spark: SparkSession, path: str, column: str, values: list[str]) -> DataFrame:
+    """:func:`partitions_present` of text values from the listing: ``value, present``."""
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias("value"))
+    found = listed_partitions(spark, path, column).select("value", F.lit(True).alias("found"))
+    return asked.join(found, "value", "left").select("value", F.coalesce("found", F.lit(False)).alias("present"))

@@ -537,6 +537,15 @@ FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
     "text_topk_each_question": f"""WITH t AS ({_TALK}), s AS ({_EACH_SCORE})
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, conv_id, turn) AS INTEGER) AS place FROM s) r
 WHERE place <= 5""",
+    "text_blocks_split": """SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS questions, p_type || chr(10) || p_brand AS options,
+       '' AS answers FROM part WHERE p_size <= 40""",
+    "text_blocks_quarantine": "SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS question FROM part WHERE p_size > 40",
+    "text_marked_split": """SELECT p_name || chr(10) || CAST(p_partkey AS VARCHAR) AS questions, '' AS options, p_type AS answers
+FROM part WHERE p_size > 10""",
+    "text_marked_quarantine": """SELECT 'Question|' || p_name || '|' || CAST(p_partkey AS VARCHAR) AS record
+FROM part WHERE p_size <= 10""",
+    "null_positions_in_files": """WITH o AS (SELECT o_orderstatus, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders)
+SELECT 'status_type' AS column_name, row_id FROM o WHERE o_orderstatus = 'P' OR o_orderstatus IS NULL""",
     "text_topk_indexed": f"""WITH t AS ({_TALK}) SELECT conv_id, turn, text, {_score(QUESTION)} AS score
 FROM t ORDER BY score DESC, conv_id, turn LIMIT 10""",
     "text_topk_each_indexed": f"""WITH t AS ({_TALK}), s AS ({_EACH_SCORE})
@@ -561,3 +570,8 @@ SELECT *, row_number() OVER (PARTITION BY name ORDER BY file_no, p_partkey) AS p
 FROM (SELECT CASE WHEN p_size <= 25 THEN 1 ELSE 2 END AS file_no, p_partkey, lower(p_name) AS name FROM part) n) d
 WHERE place = 1""",
 }
+# The same rows, found another way.
+ORACLES["max_date_from_partitions"] = f"""WITH {_with('transfers')}
+SELECT CAST(max(date_trunc('month', load_date)) AS DATE) AS load_date FROM transfers_rows WHERE date_trunc('month', load_date) <= DATE '{ODATE}'"""
+ORACLES["catalogue_from_newest_partition"] = ORACLES["catalog_newest_cutoff"]
+ORACLES["partition_presence_listed"] = f"SELECT CAST(value AS VARCHAR) AS value, present FROM ({ORACLES['partition_presence']}) p"

@@ -25,7 +25,7 @@ from ledgerloom.plans import families, ingest, profit
 from ledgerloom.schemas import conform, read_spark_schema, read_table_schema
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sinks
-from ledgerloom.sources import files
+from ledgerloom.sources import files, positions
 from ledgerloom.sources import movements as read
 from ledgerloom.workload.roles import DATEM, ODATE, role, roles, table
 
@@ -96,19 +96,42 @@ def max_date_as_of(spark, sf):
     return snapshots.newest_date(role(spark, sf, "transfers"), "load_date", ODATE)
 
 
-@query
-def catalog_newest_cutoff(spark, sf):
-    """Orders as catalogue rows: the newest order date, coded rows, one priority."""
-    listed = table(spark, sf, "orders").select(
+def _order_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("primary_key_type"),
         F.substring("o_orderpriority", 1, 1).alias("bg_operation_id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("data_code_id"),
         F.trunc("o_orderdate", "year").alias("cutoff_date"),
     )
-    current = snapshots.coded_concepts(snapshots.current_catalogue(listed))
+
+
+@query
+def catalog_newest_cutoff(spark, sf):
+    """Orders as catalogue rows: the newest order date, coded rows, one priority."""
+    current = snapshots.coded_concepts(snapshots.current_catalogue(_order_catalogue(spark, sf)))
     return snapshots.catalogue_of(current, "1")
 
 
+def _partitioned(spark: SparkSession, rows: DataFrame, column: str) -> str:
+    path = scratch_path(spark, "partitioned")
+    sinks.append_partitioned(rows, path, column)
+    return path
+
+
+@query
+def max_date_from_partitions(spark, sf):
+    """Transfers partitioned by the first day of their load month."""
+    months = role(spark, sf, "transfers").select("agreement_id", F.trunc("load_date", "month").alias("load_date"))
+    return snapshots.newest_partition(spark, _partitioned(spark, months, "load_date"), "load_date", ODATE)
+
+
+@query
+def catalogue_from_newest_partition(spark, sf):
+    path = _partitioned(spark, _order_catalogue(spark, sf), "cutoff_date")
+    current = snapshots.rows_at_newest_partition(spark, path, "cutoff_date")
+    return snapshots.catalogue_of(snapshots.coded_concepts(current), "1")
+
+
 # --- readers ---------------------------------------------------------------
 
 
@@ -562,6 +585,12 @@ def partition_presence(spark, sf):
     )
 
 
+@query
+def partition_presence_listed(spark, sf):
+    path = _partitioned(spark, _requests(spark, sf).select("request_id", "load_date"), "load_date")
+    return files.listed_partitions_present(spark, path, "load_date", [ODATE, "1990-01-31", "2000-02-29"])
+
+
 @query
 def csv_codes_roundtrip(spark, sf):
     """Codes with leading zeros, a byte-order mark, and one typed column."""
@@ -619,6 +648,45 @@ def record_file_split(spark, sf):
     return textmatch.split_questions(files.read_records(spark, path)).drop("file", "offset")
 
 
+def _block_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as question and options between blank lines; a large part has no options."""
+    path = scratch_path(spark, "blocks")
+    options = F.when(F.col("p_size") <= 40, F.concat_ws("\n", "p_type", "p_brand", F.lit("")))
+    name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    table(spark, sf, "part").select(F.concat_ws("\n", name, F.coalesce(options, F.lit(""))).alias("value")).write.text(path)
+    return positions.gathered_records(spark, path, textmatch.blank_line())
+
+
+@query
+def text_blocks_split(spark, sf):
+    return textmatch.split_blocks(_block_files(spark, sf)).select("questions", "options", "answers")
+
+
+@query
+def text_blocks_quarantine(spark, sf):
+    bad = textmatch.quarantined_blocks(_block_files(spark, sf))
+    return bad.select(F.element_at(F.filter("lines", lambda x: x != ""), 1).alias("question"))
+
+
+def _marked_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts below marker lines; a small part has no answer."""
+    path = scratch_path(spark, "marked")
+    answer = F.when(F.col("p_size") > 10, F.concat(F.lit("\t"), "p_type")).otherwise(F.lit(""))
+    record = F.concat(F.lit("Question\n"), "p_name", F.lit("\n"), F.col("p_partkey").cast("string"), answer)
+    table(spark, sf, "part").select(record.alias("value")).write.text(path)
+    return positions.gathered_records(spark, path, textmatch.marker_line())
+
+
+@query
+def text_marked_split(spark, sf):
+    return textmatch.split_marked(_marked_files(spark, sf)).select("questions", "options", "answers")
+
+
+@query
+def text_marked_quarantine(spark, sf):
+    return textmatch.quarantined_marked(_marked_files(spark, sf)).select(F.array_join("lines", "|").alias("record"))
+
+
 @query
 def merged_files_deduped(spark, sf):
     """Two exports read together; of equal names the first file's first row stays."""
@@ -731,6 +799,17 @@ def profile_null_positions(spark, sf):
     return profiling.null_positions(_mixed_dates(spark, sf), _DATE_COLUMNS, "o_orderkey")
 
 
+@query
+def null_positions_in_files(spark, sf):
+    """Rows of several files in order, the number of each row without a status."""
+    path = scratch_path(spark, "positions")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status_type")
+    orders = table(spark, sf, "orders").select("o_orderkey", status, "o_orderpriority")
+    orders.repartitionByRange(5, "o_orderkey").sortWithinPartitions("o_orderkey").write.csv(path, header=True)
+    numbered = positions.in_file_order(files.read_delimited(spark, path, orders.schema), across_files=True)
+    return profiling.null_positions(numbered, ["o_orderkey", "status_type"], "row_number")
+
+
 @query
 def parse_dates_lenient(spark, sf):
     return transforms.parse_dates("visit_.*_date", "dd/MM/yyyy", strict=False)(
