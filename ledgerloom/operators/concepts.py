@@ -76,19 +76,23 @@ def detail_sums(sources: list[tuple[DataFrame, ConceptFamily]], catalogue: DataF
     """Movements of all families summed per account and key, before they meet the accounts.
 
     Columns ``family, account_id, account_key, concept_key, amount, operations``.
-    With a ``catalogue``, keys without a concept leave first.  The first aggregation step runs on the map
-    side, so an account or a key with a third of all movements sends one row per
-    task to the shuffle.
+    The first aggregation step runs on the map side, so an account or a key with a third of all movements sends one row
+    per task to the shuffle.  With a ``catalogue``, keys without a concept leave after that: there are few keys, and
+    however large the catalogue is, only sums are ever dealt out by key.
     """
     rows = reduce(DataFrame.unionByName, [_valued(m, f) for m, f in sources])
-    if catalogue is not None:
-        suffixes = f"({AMOUNT_SUFFIX}|{COUNT_SUFFIX})$"
-        known = catalogue.select(F.regexp_replace("primary_key_type", suffixes, "").alias("concept_key")).distinct()
-        rows = rows.join(known, "concept_key", "left_semi")
     summed = rows.groupBy("family", "account_id", "account_key", "concept_key").agg(
         F.sum("amount").alias("amount"), F.sum("operations").alias("operations")
     )
-    return summed.withColumn("amount", _kept_scale(summed, "amount"))
+    summed = summed.withColumn("amount", _kept_scale(summed, "amount"))
+    return summed if catalogue is None else known_concepts(summed, catalogue)
+
+
+def known_concepts(sums: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Detail sums whose key has a concept in the catalogue."""
+    suffixes = f"({AMOUNT_SUFFIX}|{COUNT_SUFFIX})$"
+    known = catalogue.select(F.regexp_replace("primary_key_type", suffixes, "").alias("concept_key")).distinct()
+    return sums.join(known, "concept_key", "left_semi")
 
 
 def keep_open_accounts(sums: DataFrame, copies: DataFrame) -> DataFrame:
@@ -311,18 +315,18 @@ def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataF
     A plus sign in the catalogue turns the amount negative.  Amounts stay in their
     own currency.  Product and subproduct of the account are part of the grain.
 
-    The catalogue comes first and the one aggregation already has the full grain, so
-    nothing is grouped after the account join: a partition that a busy account makes
-    too large is split there.
+    Movements are summed at their own grain first, and only sums meet the catalogue: equal codes of a key are one row with a weight, so
+    the join keeps the grain.  Nothing is grouped after the account join: a partition that a busy account makes too large is
+    split there.
     """
     codes = _codes(coded_concepts(catalogue), "movement_key", "sign_type")
-    grain = ("load_date", "transaction_date", "transaction_desc", "currency_id", *codes.columns)
+    grain = ("load_date", "transaction_date", "transaction_desc", "currency_id", "movement_key")
     sums = (
         movements.withColumn("account", F.concat("counterpart_id", "folio_contract_id"))
-        .where(F.col("account").isNotNull())
-        .join(codes, "movement_key")
+        .where(F.col("account").isNotNull() & F.col("movement_key").isNotNull())
         .groupBy("account", *grain)
         .agg(F.sum("transaction_amount").alias("amount"))
+        .join(codes, "movement_key")
     )
     signed = flipped_if(F.col("sign_type") == "+", "amount")
     sums = sums.withColumn("amount", signed)
@@ -337,9 +341,10 @@ def signed_movements(movements: DataFrame, accounts: DataFrame, catalogue: DataF
 def _commission_sums(movements: DataFrame, account_key: Column, catalogue: DataFrame) -> DataFrame:
     keys = catalogue_of(catalogue, "SIC").select(F.col("primary_key_type").alias("concept_key")).distinct()
     return (
-        movements.join(keys, "concept_key", "left_semi")
+        movements.where(F.col("concept_key").isNotNull())
         .groupBy("commission_account_id", "concept_key")
         .agg(F.sum("total_commission_tax_amount").alias("amount"))
+        .join(keys, "concept_key", "left_semi")
         .withColumn("account_key", account_key)
     )
 

@@ -1,5 +1,6 @@
 """What the physical plans must and must not contain at cluster scale."""
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -11,8 +12,10 @@ from ledgerloom.plans import families
 from ledgerloom.sinks import tables as sinks
 from ledgerloom.sources import files
 from ledgerloom.sources import movements as read
+from ledgerloom.workload.queries import QUERIES
 from tests.conftest import plan_of
 
+SF = "/root/testdata/sf0.001"
 ODATE = "2022-01-31"
 
 
@@ -79,12 +82,22 @@ def _concept_plan(spark, tmp_path):
 def test_movements_are_summed_before_they_meet_the_accounts(spark, tmp_path):
     tree = _concept_plan(spark, tmp_path).split("\n\n")[0]
     assert tree.count("Scan parquet") == 1
-    # Small sides are broadcast by their size, and keys without a concept leave before the first sum.
-    below = tree[tree.index("HashAggregate") :]
-    assert "LeftSemi" in _concept_plan(spark, tmp_path) and below.count("HashAggregate") >= 4
+    # Small sides are broadcast by their size, and only sums meet the concepts and the accounts.
+    assert "HashAggregate" in tree[tree.index("LeftSemi") : tree.index("Scan parquet")]
     assert "CartesianProduct" not in tree and "NestedLoop" not in tree
 
 
+@pytest.mark.parametrize("name", ["concept_nom", "concept_b40w", "concept_sicoco", "concept_sicoco5", "profit_first_part"])
+def test_only_sums_are_dealt_out_by_concept(spark, no_automatic_broadcast, name):
+    """However large the catalogue: below each exchange by concept key stands an aggregation, never raw movements."""
+    text = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(text) if re.search(r"Exchange hashpartitioning\((concept_key|movement_key)#\d+, \d", line)]
+    assert dealt
+    for i in dealt:
+        below = "\n".join(text[i + 1 :]).split("FileScan")[0]
+        assert "Aggregate" in below, below
+
+
 def test_large_lookups_fall_back_to_shuffle_joins(spark, tmp_path, no_automatic_broadcast):
     plan = _concept_plan(spark, tmp_path)
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
