@@ -21,7 +21,7 @@ LEAST_DOCUMENTS = 10
 TOP_TERMS = 10
 SHARE = 1_000_000_000
 #: Terms of one source in one task, on average at most; an array may be 2**MOST_DOUBLINGS long.
-BUCKET_TERMS = 1 << 15
+BUCKET_TERMS = 1 << 13
 MOST_DOUBLINGS = 20
 #: Array terms that a pair task walks, roughly, before another task is worth it.
 TASK_TERMS = 1 << 18
@@ -69,8 +69,8 @@ def kept_terms(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
 def first_at_least(ids: Column, start: Column, wanted: Column) -> Column:
     """The first place from ``start`` on whose id is not below ``wanted``, found by doubling steps and then halving ones."""
     below = lambda at: F.coalesce(F.get(ids, at) < wanted, F.lit(False))
-    steps = F.when(~below(start), F.lit(-1))
-    for k in range(MOST_DOUBLINGS + 1):
+    steps = F.when(~below(start + 2), F.lit(1))
+    for k in range(2, MOST_DOUBLINGS + 1):
         steps = steps.when(~below(start + (1 << k)), F.lit(k))
 
     def halved(k: Column) -> Column:
@@ -80,7 +80,8 @@ def first_at_least(ids: Column, start: Column, wanted: Column) -> Column:
         closer = lambda at, s: let(at + F.call_function("shiftleft", F.lit(1), s), lambda x: F.when(below(x), x).otherwise(at))
         return F.aggregate(sizes, low, closer) + 1
 
-    return let(steps, lambda k: F.when(k < 1, start + k + 1).otherwise(halved(k)))
+    # Places next to each other are the common case and need no search.
+    return F.when(~below(start), start).when(~below(start + 1), start + 1).otherwise(let(steps, halved))
 
 
 def shared_price(walked: Column, found: Column, walked_absent: Column, found_absent: Column) -> Column:
@@ -103,16 +104,17 @@ def shared_price(walked: Column, found: Column, walked_absent: Column, found_abs
     return F.aggregate(entries, start, step)["more"]
 
 
-def one_sided_price(shares: Column, absent: Column) -> Column:
-    return F.aggregate(shares, F.lit(0).cast("bigint"), lambda total, p: total + price(p, absent))
+def one_sided_price(levels: Column, absent: Column) -> Column:
+    """What all terms of a source cost against their absence; ``levels`` has each share once, with its number of terms."""
+    return F.aggregate(levels, F.lit(0).cast("bigint"), lambda total, x: total + x["n"] * price(x["p"], absent))
 
 
 def _pair_price(a: Column, b: Column) -> Column:
-    """Price of all terms of a bucket between two sources; each is a struct of ``ids``, ``shares``, ``absent`` and ``terms``."""
+    """Price of all terms of a bucket between two sources; each is a struct of ``ids``, ``shares``, ``levels``, ``absent`` and ``terms``."""
     small = lambda x, y: shared_price(x, y, x["absent"], y["absent"])
     both = F.when(F.size(a["ids"]) <= F.size(b["ids"]), small(a, b)).otherwise(small(b, a))
     rest = (a["terms"] - F.size(a["ids"]) - F.size(b["ids"])) * price(a["absent"], b["absent"])
-    return both + rest + one_sided_price(a["shares"], b["absent"]) + one_sided_price(b["shares"], a["absent"])
+    return both + rest + one_sided_price(a["levels"], b["absent"]) + one_sided_price(b["levels"], a["absent"])
 
 
 def _ranked(rows: DataFrame, part: str, top: int | None = None) -> DataFrame:
@@ -155,10 +157,14 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS, b
     over = held.where(F.col("p") > F.col("q")).select("lang", "source", F.col("term").alias("item"), price(F.col("p"), F.col("q")).alias("value"))
     term_rows = _ranked(over, "term", top)
 
-    pairs_of_terms = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("id", "p"))))
     absent = share(F.lit(0), *size)
-    sorted_terms = held.groupBy("lang", "source", "bucket", "terms", absent.alias("absent")).agg(pairs_of_terms.alias("pairs"))
-    side = F.struct(F.col("pairs.id").alias("ids"), F.col("pairs.p").alias("shares"), "absent", "terms")
+    cell = ["lang", "source", "bucket", "terms", "absent"]
+    by_share = held.withColumn("absent", absent).groupBy(*cell, "p").agg(F.collect_list("id").alias("same"), F.count("id").alias("n"))
+    with_share = F.transform("same", lambda i: F.struct(i.alias("id"), F.col("p").alias("p")))
+    sorted_terms = by_share.groupBy(*cell).agg(
+        F.array_sort(F.flatten(F.collect_list(with_share))).alias("pairs"), F.collect_list(F.when(F.col("n") > 0, F.struct("p", "n"))).alias("levels")
+    )
+    side = F.struct(F.col("pairs.id").alias("ids"), F.col("pairs.p").alias("shares"), "levels", "absent", "terms")
     arrays = sorted_terms.select("lang", "source", "bucket", side.alias("side"))
 
     # Of an unordered pair, which source walks first in the key is drawn by a hash, so that no source is in all keys.
