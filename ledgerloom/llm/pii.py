@@ -11,6 +11,7 @@ from made-up entities and from leftover numbers of a bounded sample, which are n
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,8 @@ DIGIT = re.compile(r"[0-9]")
 
 MOST_GROUPS = 12
 SAMPLE_DOCS = 1_000
+#: Leftover numbers that are learned as none.
+LEFTOVERS = 2_000
 MADE_UP = 700
 EPOCHS, RATE, DECAY = 5, 0.3, 1e-3
 #: How much better an added span must be than leaving its groups alone, in log odds.
@@ -47,6 +50,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _small(digits: str) -> bool:
+    """Whether a part of an address is at most 255, however many zeros lead it."""
+    rest = digits.lstrip("0")
+    return len(rest) <= 3 and int(rest or 0) <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches in linear time: each at-sign, with what stands before it back to the last match."""
     free, at = 0, text.find("@")
@@ -65,7 +74,7 @@ def base_spans(text: str) -> list[Span]:
     """``start, end, kind number`` of the pattern matches, by start, then kind."""
     out: list[Span] = [(a, b, 0) for a, b in _emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(m.start(), m.end(), 1) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+        out += [(m.start(), m.end(), 1) for m in IP.finditer(text) if all(_small(p) for p in m.group().split("."))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
                 digits = m.group().replace(" ", "").replace("-", "")
@@ -76,6 +85,30 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
+class Taken:
+    """Places of a text that spans take, as ascending intervals without overlap."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b, _ in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def touches(self, a: int, b: int) -> bool:
+        i = bisect_right(self.ends, a)
+        return i < len(self.starts) and self.starts[i] < b
+
+    def add(self, a: int, b: int) -> None:
+        """Takes a place that nothing touches."""
+        i = bisect_right(self.ends, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
 # --- windows and segments ---------------------------------------------------------
 
 NUMBERS = re.compile(r"[+(]{0,2}[0-9]+(?:[ ().\-/]{1,3}[0-9]+)*")
@@ -100,19 +133,20 @@ class Window:
 
 def windows(text: str, base: list[Span]) -> Iterator[Window]:
     """Windows with groups that no base span touches."""
+    taken = Taken(base)
     if DIGIT.search(text):
         for m in NUMBERS.finditer(text):
             if m.end() - m.start() < 7:
                 continue
             groups = [(g.start(), g.end()) for g in GROUP.finditer(text, m.start(), m.end())]
             if base:
-                groups = [g for g in groups if not any(a < g[1] and g[0] < b for a, b, _ in base)]
+                groups = [g for g in groups if not taken.touches(*g)]
             if groups and sum(b - a for a, b in groups) >= 4:
                 yield Window(text, [a for a, _ in groups], [b for _, b in groups])
     if SPELLED_MARK.search(text):
         for m in SPELLED.finditer(text):
             groups = [(g.start(), g.end()) for g in WORD.finditer(text, m.start(), m.end())]
-            if not any(a < m.end() and m.start() < b for a, b, _ in base):
+            if not taken.touches(m.start(), m.end()):
                 yield Window(text, [a for a, _ in groups], [b for _, b in groups], True)
 
 
@@ -254,32 +288,53 @@ def _made_up(rng: np.random.Generator) -> tuple[str, list[tuple[int, int, int]]]
     return "".join(parts), spans
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, made_up: int = MADE_UP, seed: int = SEED) -> np.ndarray:
-    """Weights of the random field: kinds by features.
+def likely_entity(w: Window) -> bool:
+    """Whether a run of the window is written like a phone or card number that the patterns miss, so that it teaches nothing as none."""
+    for i, j, f in segments(w):
+        digits = sum(c.isdigit() for c in w.text[w.starts[i] : w.ends[j]])
+        if (27 in f and 10 <= digits <= 15) or (14 in f and 10 <= digits <= 15) or 25 in f:
+            return True
+    return False
 
-    ``made_up`` texts bring entities; from at most ``sample_docs`` documents, drawn by a hash of
-    the id, come numbers no pattern takes, labelled as none.  Only those windows reach the
-    driver.
+
+def leftover_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, most: int = LEFTOVERS) -> list[str]:
+    """At most ``most`` numbers that no pattern takes and that are not written like an entity, with a space around them.
+
+    They come from documents of at most ``sample_docs`` ids, drawn by a hash of the id, and are drawn by a hash of document and
+    place, so neither batches nor the order of rows matter.
     """
 
     def leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for x in batch.column("text"):
-                text = x.as_py() or ""
+            for doc, x in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                text, piece, place = x.as_py() or "", [], []
                 for w in windows(text, base_spans(text)):
                     if not w.spelled and len(w.starts) <= MOST_GROUPS:
-                        out.append(" " + text[w.starts[0] : w.ends[-1]] + " ")
-                    if len(out) >= 2 * batch.num_rows:
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["piece"])
+                        around = " " + text[w.starts[0] : w.ends[-1]] + " "
+                        if not any(likely_entity(v) for v in windows(around, [])):
+                            piece.append(around)
+                            place.append(w.starts[0])
+                columns = [pa.array([doc.as_py()] * len(piece), doc.type), pa.array(place, pa.int64()), pa.array(piece, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "piece"])
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
     picked = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text")
-    none = sorted(r.piece for r in sample.mapInArrow(leftovers, "piece string").collect())
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    found = sample.mapInArrow(leftovers, f"doc_id {kind}, place bigint, piece string")
+    drawn = found.orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "piece").limit(most)
+    return sorted(r.piece for r in drawn.collect())
+
+
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, made_up: int = MADE_UP, seed: int = SEED) -> np.ndarray:
+    """Weights of the random field: kinds by features.
+
+    ``made_up`` texts bring entities; :func:`leftover_windows` of a bounded sample are labelled as none.  Only those windows
+    reach the driver.
+    """
+    none = leftover_windows(docs, sample_docs)
     rng = np.random.default_rng(seed)
     examples: list[tuple[Window, set]] = []
-    for text, spans in [(t, []) for t in none[: 2 * sample_docs]] + [_made_up(rng) for _ in range(made_up)]:
+    for text, spans in [(t, []) for t in none] + [_made_up(rng) for _ in range(made_up)]:
         for w in windows(text, []):
             at = {(w.starts[i], w.ends[j]): (i, j) for i in range(len(w.starts)) for j in range(i, min(len(w.starts), i + MOST_GROUPS))}
             gold = {(*at[a, b], k) for a, b, k in spans if (a, b) in at and k in _kinds(w)}
@@ -301,11 +356,12 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, made_up: int = MADE_UP,
 def find(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
     """Base spans, and the spans the random field adds beside them."""
     base = base_spans(text)
-    added: list[Span] = []
+    taken, added = Taken(base), []
     for w in windows(text, base):
         for i, j, kind in decode(w, weights):
             a, b = w.starts[i], w.ends[j]
-            if not any(x < b and a < y for x, y, _ in [*base, *added]):
+            if not taken.touches(a, b):
+                taken.add(a, b)
                 added.append((a, b, kind))
     return base, added
 
