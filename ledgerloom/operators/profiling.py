@@ -125,6 +125,6 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def preview(df: DataFrame, rows: int = 4) -> DataFrame:
-    """The first rows as Spark meets them."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 4, order: list[str] | None = None) -> DataFrame:
+    """The first rows in an order, or as Spark meets them without one."""
+    return (df.orderBy(*order) if order else df).limit(rows)

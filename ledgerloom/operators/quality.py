@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import as_date
+from ledgerloom.sources.files import listed_partitions, path_exists, read_zone
 
 
 class QualityFailure(RuntimeError):
@@ -153,24 +154,90 @@ def length_rules(limits: dict[str, int], **thresholds: object) -> list[Rule]:
 
 
 def _expected(rule: Rule) -> Column:
-    """The other count as a scalar subquery, null for row rules; anything but one row of it is refused."""
+    """The other count as a scalar subquery, null for row rules; anything but one row in a control frame is refused."""
     other = rule.other()
     if other is None:
         return F.lit(None).cast("bigint")
+    if not isinstance(rule, MatchesControlCount):  # a count is one row by itself
+        return F.coalesce(other.scalar(), F.lit(0)).cast("bigint")
     wrong = F.raise_error(F.concat(F.lit(f"{rule.kind} needs one control row, found "), F.count("*").cast("string")))
     one = F.when(F.count("*") == 1, F.max("n")).otherwise(wrong.cast("bigint"))
     return F.coalesce(other.agg(one.alias("n")).scalar(), F.lit(0)).cast("bigint")
 
 
+def _counters(rules: list[Rule]) -> list[Column]:
+    """``total``, and ``passed_i`` of every row rule."""
+    passed = [F.count_if(rule.ok()).alias(f"passed_{i}") for i, rule in enumerate(rules) if rule.ok() is not None]
+    return [F.count("*").alias("total"), *passed]
+
+
 def evaluate(df: DataFrame, rules: list[Rule], subset: str | None = None) -> DataFrame:
     """Report of all rules on the frame (or on its ``subset``)."""
     checked = df.where(F.expr(subset)) if subset else df
-    counters = [F.count("*").alias("total")]
-    counters += [
-        F.count_if(rule.ok()).alias(f"passed_{i}")
-        for i, rule in enumerate(rules)
-        if rule.ok() is not None
-    ]
+    return _report(checked.agg(*_counters(rules)), rules)
+
+
+def rules_text(rules: list[Rule]) -> str:
+    """What the row rules count, as text; thresholds are not part of it."""
+    return "; ".join(f"{i} {rule.kind} {rule.ok()}" for i, rule in enumerate(rules) if rule.ok() is not None)
+
+
+def partition_counters(df: DataFrame, rules: list[Rule], partition: str) -> DataFrame:
+    """One row of counters per partition value: ``partition`` (text), ``rules``, ``total, passed_i``.
+
+    Counters add up, so rows of disjoint partitions are the state of a table's quality: store them, and count only partitions that
+    are not among them (:func:`unseen_partitions`).
+    """
+    value = F.col(partition).cast("string").alias("partition")
+    counted = df.groupBy(value).agg(*_counters(rules))
+    return counted.select("partition", F.lit(rules_text(rules)).alias("rules"), *[c for c in counted.columns if c != "partition"])
+
+
+def unseen_partitions(spark: SparkSession, path: str, column: str, state: DataFrame) -> list[str | None]:
+    """Partition values of a stored table that a state does not hold, from the listing; one text per partition reaches the driver."""
+    known = state.select(F.col("partition").alias("value")).distinct()
+    listed = listed_partitions(spark, path, column).select("value")
+    same = listed["value"].eqNullSafe(known["value"])
+    return sorted((r.value for r in listed.join(known, same, "left_anti").collect()), key=lambda v: (v is None, v))
+
+
+def update_counters(spark: SparkSession, path: str, column: str, rules: list[Rule], state_path: str) -> list[str | None]:
+    """Counts the partitions of a stored table that the state below ``state_path`` lacks, and adds them to it.
+
+    Only those partitions are read.  Returns their values; nothing is written when there are none.  A partition that was replaced
+    after it was counted must be taken out of the state first (:func:`forget_partitions`).
+    """
+    table = read_zone(spark, path)
+    empty = partition_counters(table.where(F.lit(False)), rules, column)
+    state = spark.read.schema(empty.schema).parquet(state_path) if path_exists(spark, state_path) else empty
+    values = unseen_partitions(spark, path, column, state)
+    if values:
+        kind = table.schema[column].dataType
+        wanted = F.col(column).isin([F.lit(v).cast(kind) for v in values if v is not None])
+        if None in values:
+            wanted = wanted | F.col(column).isNull()
+        partition_counters(table.where(wanted), rules, column).write.mode("append").parquet(state_path)
+    return values
+
+
+def forget_partitions(spark: SparkSession, state_path: str, values: list[str], new_path: str) -> None:
+    """The state without some partitions, written to a new place, so that they are counted again."""
+    state = spark.read.parquet(state_path)
+    state.where(~F.coalesce(F.col("partition").isin(values), F.lit(False))).write.parquet(new_path)
+
+
+def evaluate_state(state: DataFrame, rules: list[Rule]) -> DataFrame:
+    """:func:`evaluate` from stored counters; counters of other rules are refused."""
+    wanted = F.lit(rules_text(rules))
+    other = F.raise_error(F.concat(F.lit("the state counts other rules: "), F.col("rules")))
+    checked = F.when(F.col("rules") == wanted, F.col("total")).otherwise(other.cast("bigint"))
+    sums = [F.coalesce(F.sum(checked), F.lit(0)).alias("total")]
+    sums += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in state.columns if c.startswith("passed_")]
+    return _report(state.agg(*sums), rules)
+
+
+def _report(counted: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Report from one row of counters."""
     facts = [
         F.struct(
             F.lit(i).alias("rule_no"),
@@ -189,7 +256,7 @@ def evaluate(df: DataFrame, rules: list[Rule], subset: str | None = None) -> Dat
         )
         for i, rule in enumerate(rules)
     ]
-    lines = checked.agg(*counters).select(F.inline(F.array(*facts)))
+    lines = counted.select(F.inline(F.array(*facts)))
 
     # Two counts agree to the share of the smaller in the larger one.
     total = F.when(F.col("expected").isNotNull(), F.greatest("total", "expected")).otherwise(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,10 +46,28 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shared_folder(master: str, checkpoint_dir: str | None, warehouse_dir: str) -> str:
+    """A folder that driver and executors share.
+
+    The one that ``spark.checkpoint.dir`` names is taken at its word.  Without it the warehouse folder serves, but off the driver's
+    machine only if its address names a store: executors write ``file:`` paths to disks of their own, so such a path is refused.
+    """
+    if checkpoint_dir:
+        return checkpoint_dir
+    one_machine = re.fullmatch(r"local(\[.*\])?", master)
+    if not one_machine and (warehouse_dir.startswith("file:") or ":" not in warehouse_dir):
+        raise ValueError(f"{warehouse_dir!r} is a folder of one machine's own under master {master!r}: set spark.checkpoint.dir to a shared one")
+    return warehouse_dir
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below a place that driver and executors share.
+    """A fresh folder name below the place that driver and executors share (:func:`shared_folder`).
 
-    That is ``spark.checkpoint.dir``, else the warehouse folder; never a folder of one machine's own.
+    What is written there is for the run alone.  It is left behind, as lost executors may read it until the job's last action;
+    whoever owns the folder removes it, by age.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    conf = spark.conf
+    shared = shared_folder(
+        conf.get("spark.master", "local"), conf.get("spark.checkpoint.dir", None), conf.get("spark.sql.warehouse.dir")
+    )
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

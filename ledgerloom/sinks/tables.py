@@ -45,6 +45,18 @@ def create(
     (writer.partitionBy(partition) if partition else writer).save(path)
 
 
+def store_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A table of the session's catalogue dealt to ``buckets`` files by ``key`` and sorted by it, as a frame.
+
+    Joins and groupings by the key read it without an exchange.  ``buckets`` should not be below the session's shuffle partitions, or
+    Spark deals the table anew.  Rows are dealt before they are written, so a bucket is one file.
+    """
+    spread = df.repartition(buckets, key)
+    writer = spread.write.bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def replace_partition(
     df: DataFrame,
     path: str,

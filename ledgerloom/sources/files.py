@@ -111,6 +111,12 @@ def read_records(spark: SparkSession, paths: str | list[str], separator: str = "
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the store holds a file or folder of this name."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def partition_exists(df: DataFrame, column: str, value: object) -> bool:
     """Whether a partition holds rows; the scan is pruned to that directory."""
     return not df.where(F.col(column) == F.lit(value)).limit(1).isEmpty()

@@ -575,3 +575,6 @@ ORACLES["max_date_from_partitions"] = f"""WITH {_with('transfers')}
 SELECT CAST(max(date_trunc('month', load_date)) AS DATE) AS load_date FROM transfers_rows WHERE date_trunc('month', load_date) <= DATE '{ODATE}'"""
 ORACLES["catalogue_from_newest_partition"] = ORACLES["catalog_newest_cutoff"]
 ORACLES["partition_presence_listed"] = f"SELECT CAST(value AS VARCHAR) AS value, present FROM ({ORACLES['partition_presence']}) p"
+ORACLES["concept_restated"] = " UNION ALL ".join(f"SELECT * FROM ({FAMILY_SQL[n]}) AS {n}" for n in ("concept_sit", "concept_cie", "concept_tib_dem"))
+ORACLES["dq_report_from_state"] = ORACLES["dq_report"]
+ORACLES["preview_rows"] = "SELECT o_orderkey, o_orderstatus, o_custkey FROM orders ORDER BY o_orderkey LIMIT 4"

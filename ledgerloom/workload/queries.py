@@ -21,7 +21,7 @@ from ledgerloom.operators import (
     textmatch,
     transforms,
 )
-from ledgerloom.plans import families, ingest, profit
+from ledgerloom.plans import families, ingest, profit, restate
 from ledgerloom.schemas import conform, read_spark_schema, read_table_schema
 from ledgerloom.session import scratch_path
 from ledgerloom.sinks import tables as sinks
@@ -32,6 +32,7 @@ from ledgerloom.workload.roles import DATEM, ODATE, role, roles, table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+FIRST_DELIVERY = "1998-04-01"
 QUESTION = "Which eneren ther one inond whether thatin the best estion for each ander"
 
 
@@ -421,10 +422,28 @@ def concept_all(spark, sf):
     return profit.profit_facts(_sources(spark, sf), ODATE, DATEM)
 
 
+def _with_stored_accounts(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    path = scratch_path(spark, "accounts")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    return {**tables, "accounts": sinks.store_bucketed(tables["accounts"], name, "account_id", buckets, path)}
+
+
+@query
+def concept_restated(spark, sf):
+    """Transfers, collections and cheques of a month: a first delivery, then late rows alone."""
+    tables, path = _sources(spark, sf), scratch_path(spark, "sums")
+    restate.keep_delivery(tables, path, ODATE, FIRST_DELIVERY)
+    restate.keep_delivery(tables, path, ODATE, DATEM, after=FIRST_DELIVERY)
+    specs = [family for _, family in restate.late_sources(tables, ODATE, DATEM)]
+    catalogue = snapshots.current_catalogue(tables["catalogue"])
+    return restate.restated_facts(spark, path, tables["accounts"], catalogue, ODATE, DATEM, specs)
+
+
 @query
 def concept_all_staged(spark, sf):
-    """As ``concept_all``, the first part stored between the two."""
-    tables = _sources(spark, sf)
+    """As ``concept_all``, the accounts stored by account and the first part between the two."""
+    tables = _with_stored_accounts(spark, _sources(spark, sf))
     path = scratch_path(spark, "profit-first-part")
     sinks.overwrite(profit.base_concepts(tables, ODATE), path)
     return profit.profit_facts(tables, ODATE, DATEM, base=files.read_zone(spark, path))
@@ -706,9 +725,7 @@ def merged_files_deduped(spark, sf):
 # --- quality and profiles --------------------------------------------------
 
 
-@query
-def dq_report(spark, sf):
-    rows = _requests(spark, sf)
+def _request_rules(spark: SparkSession, sf: str) -> list[quality.Rule]:
     control = table(spark, sf, "customer").agg(F.count("*").alias("expected"))
     rules = [
         quality.NotEmpty(),
@@ -722,8 +739,24 @@ def dq_report(spark, sf):
         quality.DateEquals(column="load_date", value=f"{ODATE} 00:00:00", critical=False),
         quality.MatchesPattern(column="status_type", min_threshold=10.0),
     ]
-    rules += quality.length_rules({"priority_name": 8}, critical=False)
-    return quality.evaluate(rows, rules)
+    return rules + quality.length_rules({"priority_name": 8}, critical=False)
+
+
+@query
+def dq_report(spark, sf):
+    return quality.evaluate(_requests(spark, sf), _request_rules(spark, sf))
+
+
+@query
+def dq_report_from_state(spark, sf):
+    """Requests by year: some years are counted, the others arrive, and only those are counted then."""
+    path, state = scratch_path(spark, "requests"), scratch_path(spark, "quality-state")
+    rows = _requests(spark, sf).withColumn("load_year", F.year("load_date"))
+    rules = _request_rules(spark, sf)
+    for some in (F.col("load_year") < 1998, F.col("load_year") >= 1998):
+        sinks.append_partitioned(rows.where(some), path, "load_year")
+        quality.update_counters(spark, path, "load_year", rules, state)
+    return quality.evaluate_state(spark.read.parquet(state), rules)
 
 
 @query
@@ -784,6 +817,11 @@ def _mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
 _DATE_COLUMNS = ["visit_start_date", "visit_end_date"]
 
 
+@query
+def preview_rows(spark, sf):
+    return profiling.preview(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey"), 4, ["o_orderkey"])
+
+
 @query
 def profile_dates(spark, sf):
     return profiling.format_audit(_mixed_dates(spark, sf), _DATE_COLUMNS)
