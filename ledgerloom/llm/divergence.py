@@ -84,24 +84,26 @@ def first_at_least(ids: Column, start: Column, wanted: Column) -> Column:
     return F.when(~below(start), start).when(~below(start + 1), start + 1).otherwise(let(steps, halved))
 
 
-def shared_price(walked: Column, found: Column, walked_absent: Column, found_absent: Column) -> Column:
+def shared_price(ids: Column, shares: Column, absent: Column, other_ids: Column, other_shares: Column, other_absent: Column) -> Column:
     """What the terms of both arrays cost beyond the prices of being on one side alone.
 
-    Each array is a struct of ascending ``ids`` and their ``shares``.
+    ``ids`` are walked one by one and searched for among ``other_ids``; both ascend.  A step prices the place that the step before
+    it found.
     """
-    ids, shares = found["ids"], found["shares"]
-    entries = F.transform(walked["ids"], lambda i, at: F.struct(i.alias("id"), F.get(walked["shares"], at).alias("p")))
 
-    def step(state: Column, x: Column) -> Column:
-        def judged(at: Column) -> Column:
-            q = F.get(shares, at)
-            more = price(x["p"], q) - price(x["p"], found_absent) - price(walked_absent, q) + price(walked_absent, found_absent)
-            return F.struct(at.alias("at"), (state["more"] + F.when(F.get(ids, at) == x["id"], more).otherwise(F.lit(0))).alias("more"))
+    def gain(state: Column) -> Column:
+        p, q = F.get(shares, state["next"] - 1), F.get(other_shares, state["at"])
+        more = price(p, q) - price(p, other_absent) - price(absent, q) + price(absent, other_absent)
+        return F.when(F.get(other_ids, state["at"]) == state["id"], state["gain"] + more).otherwise(state["gain"])
 
-        return let(first_at_least(ids, state["at"], x["id"]), judged)
+    def step(state: Column, wanted: Column) -> Column:
+        at = first_at_least(other_ids, state["at"], wanted)
+        return F.struct(at.alias("at"), (state["next"] + 1).alias("next"), wanted.alias("id"), gain(state).alias("gain"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("more"))
-    return F.aggregate(entries, start, step)["more"]
+    # Before the first step no id is looked for; a null one equals none.
+    none = F.lit(None).cast("bigint")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("next"), none.alias("id"), F.lit(0).cast("bigint").alias("gain"))
+    return F.aggregate(ids, start, step, gain)
 
 
 def one_sided_price(levels: Column, absent: Column) -> Column:
@@ -109,12 +111,13 @@ def one_sided_price(levels: Column, absent: Column) -> Column:
     return F.aggregate(levels, F.lit(0).cast("bigint"), lambda total, x: total + x["n"] * price(x["p"], absent))
 
 
-def _pair_price(a: Column, b: Column) -> Column:
-    """Price of all terms of a bucket between two sources; each is a struct of ``ids``, ``shares``, ``levels``, ``absent`` and ``terms``."""
-    small = lambda x, y: shared_price(x, y, x["absent"], y["absent"])
-    both = F.when(F.size(a["ids"]) <= F.size(b["ids"]), small(a, b)).otherwise(small(b, a))
-    rest = (a["terms"] - F.size(a["ids"]) - F.size(b["ids"])) * price(a["absent"], b["absent"])
-    return both + rest + one_sided_price(a["levels"], b["absent"]) + one_sided_price(b["levels"], a["absent"])
+def _pair_price() -> Column:
+    """Price of all terms of a bucket between the sources of columns ``a_`` and ``b_``."""
+    side = lambda x: tuple(F.col(f"{x}_{c}") for c in ("ids", "shares", "absent"))
+    (a_ids, _, a_absent), (b_ids, _, b_absent) = side("a"), side("b")
+    both = F.when(F.size(a_ids) <= F.size(b_ids), shared_price(*side("a"), *side("b"))).otherwise(shared_price(*side("b"), *side("a")))
+    rest = (F.col("terms") - F.size(a_ids) - F.size(b_ids)) * price(a_absent, b_absent)
+    return both + rest + one_sided_price(F.col("a_levels"), b_absent) + one_sided_price(F.col("b_levels"), a_absent)
 
 
 def _ranked(rows: DataFrame, part: str, top: int | None = None) -> DataFrame:
@@ -164,8 +167,10 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS, b
     sorted_terms = by_share.groupBy(*cell).agg(
         F.array_sort(F.flatten(F.collect_list(with_share))).alias("pairs"), F.collect_list(F.when(F.col("n") > 0, F.struct("p", "n"))).alias("levels")
     )
-    side = F.struct(F.col("pairs.id").alias("ids"), F.col("pairs.p").alias("shares"), "levels", "absent", "terms")
-    arrays = sorted_terms.select("lang", "source", "bucket", side.alias("side"))
+
+    def side(name: str) -> list[Column]:
+        columns = {"ids": F.col("pairs.id"), "shares": F.col("pairs.p"), "levels": F.col("levels"), "absent": F.col("absent")}
+        return [c.alias(f"{name}_{n}") for n, c in columns.items()]
 
     # Of an unordered pair, which source walks first in the key is drawn by a hash, so that no source is in all keys.
     other = groups.select(F.col("lang").alias("_lang"), F.col("source").alias("other"))
@@ -174,10 +179,11 @@ def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_TERMS, b
     per_language = groups.groupBy("lang").agg((F.count("*") * (F.count("*") - 1) / 2).cast("bigint").alias("pairs"))
     work = per_language.join(languages, "lang").agg(F.sum(F.col("pairs") * F.col("kept"))).first()[0] or 0
     tasks = max(1, -(-work // TASK_TERMS))
-    first = arrays.join(other, (F.col("lang") == F.col("_lang")) & once).drop("_lang").withColumnRenamed("side", "a")
+    arrays = sorted_terms.select("lang", "source", "bucket", "terms", *side("a"))
+    first = arrays.join(other, (F.col("lang") == F.col("_lang")) & once).drop("_lang")
     dealt = first.repartition(tasks, "lang", "other", "bucket")
-    second = arrays.select("lang", F.col("source").alias("other"), "bucket", F.col("side").alias("b"))
-    priced = dealt.join(second, ["lang", "other", "bucket"]).select("lang", "source", "other", _pair_price(F.col("a"), F.col("b")).alias("value"))
+    second = sorted_terms.select("lang", F.col("source").alias("other"), "bucket", *side("b"))
+    priced = dealt.join(second, ["lang", "other", "bucket"]).select("lang", "source", "other", _pair_price().alias("value"))
     summed = priced.groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
     both_ways = F.inline(F.array(F.struct("source", F.col("other").alias("item")), F.struct(F.col("other").alias("source"), F.col("source").alias("item"))))
     pair_rows = _ranked(summed.select("lang", "value", both_ways), "pair")
