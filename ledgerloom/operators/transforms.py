@@ -66,11 +66,23 @@ def cast_columns(pattern: str, type_: str) -> Transform:
     )
 
 
-def parse_dates(pattern: str, format_: str, strict: bool = True) -> Transform:
-    """Dates read in an explicit format; ``strict=False`` nulls what does not parse."""
+def _date(name: str, format_: str, strict: bool, locale: str | None) -> Column:
+    if locale is None:
+        return F.to_date(name, format_) if strict else F.try_to_date(name, format_)
+    options = {"dateFormat": format_, "locale": locale, "mode": "FAILFAST" if strict else "PERMISSIVE", "sep": "\u0001", "quote": ""}
+    return F.from_csv(F.col(name), "value date", options)["value"]
+
+
+def parse_dates(pattern: str, format_: str | list[str], strict: bool = True, locale: str | None = None) -> Transform:
+    """Dates read in an explicit format; ``strict=False`` nulls what does not parse.
+
+    Of several formats the first that fits counts.  ``locale`` (such as ``es-MX``) is the language of month and day names.
+    """
+    formats = [format_] if isinstance(format_, str) else list(format_)
 
     def parse(name: str) -> Column:
-        return F.to_date(name, format_) if strict else F.try_to_date(name, format_)
+        tried = [_date(name, f, False, locale) for f in formats[:-1]]
+        return F.coalesce(*tried, _date(name, formats[-1], strict, locale))
 
     return lambda df: _replace(df, columns_matching(df, pattern), parse)
 

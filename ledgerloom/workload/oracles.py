@@ -578,3 +578,4 @@ ORACLES["partition_presence_listed"] = f"SELECT CAST(value AS VARCHAR) AS value,
 ORACLES["concept_restated"] = " UNION ALL ".join(f"SELECT * FROM ({FAMILY_SQL[n]}) AS {n}" for n in ("concept_sit", "concept_cie", "concept_tib_dem"))
 ORACLES["dq_report_from_state"] = ORACLES["dq_report"]
 ORACLES["preview_rows"] = "SELECT o_orderkey, o_orderstatus, o_custkey FROM orders ORDER BY o_orderkey LIMIT 4"
+ORACLES["parse_dates_in_words"] = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders"

@@ -864,6 +864,20 @@ def parse_dates_strict(spark, sf):
     return transforms.parse_dates("visit_.*_date", "dd/MM/yyyy", strict=True)(written)
 
 
+MONTHS = "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre".split()
+
+
+@query
+def parse_dates_in_words(spark, sf):
+    """Order dates in two writings, one of them with Spanish month names."""
+    day = F.col("o_orderdate").cast("date")
+    month = F.element_at(F.array(*map(F.lit, MONTHS)), F.month(day))
+    in_words = F.concat_ws(" de ", F.date_format(day, "dd"), month, F.date_format(day, "yyyy"))
+    written = F.when(F.col("o_orderkey") % 2 == 0, in_words).otherwise(F.date_format(day, "dd/MM/yyyy"))
+    orders = table(spark, sf, "orders").select("o_orderkey", written.alias("order_date"))
+    return transforms.parse_dates("order_date", ["dd/MM/yyyy", "dd 'de' MMMM 'de' yyyy"], locale="es-MX")(orders)
+
+
 @query
 def profile_nulls(spark, sf):
     return profiling.null_counts(_requests(spark, sf))

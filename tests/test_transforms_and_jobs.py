@@ -36,6 +36,20 @@ def test_strict_and_lenient_conversions(spark):
             step(df).collect()
 
 
+def test_dates_in_several_formats_and_languages(spark):
+    df = spark.createDataFrame([("05/03/2022",), ("2022-03-05",), ("05 de marzo de 2022",), ("5 March",), ("a,b",), (None,)], "d string")
+    formats = ["dd/MM/yyyy", "yyyy-MM-dd", "dd 'de' MMMM 'de' yyyy"]
+    read = [r.d for r in transforms.parse_dates("d", formats, strict=False, locale="es-MX")(df).collect()]
+    assert read == [date(2022, 3, 5)] * 3 + [None] * 3
+    read = [r.d for r in transforms.parse_dates("d", formats[:2], strict=False)(df).collect()]
+    assert read == [date(2022, 3, 5)] * 2 + [None] * 4
+    fits = df.where("d like '%2022%' or d is null")
+    assert transforms.parse_dates("d", formats, locale="es-MX")(fits).where("d is null").count() == 1
+    for chosen in (formats, formats[:1]):
+        with pytest.raises(Exception):
+            transforms.parse_dates("d", chosen, locale="es-MX")(df).collect()
+
+
 def test_chain(spark):
     df = spark.createDataFrame([(" 1,5 ", "a\nb", "x" * 30, None)], "t_amount string, t string, name string, gap string")
     out = transforms.pipeline(
