@@ -105,8 +105,11 @@ def page_table(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")).withColumns(
         {"mark": F.xxhash64("url", "html"), "equal": F.sha2(F.encode("html", "utf-8"), 256)}
     )
-    first = rows.groupBy("equal").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "mark")).alias("first"))
-    joined = rows.join(first, "equal").withColumns({"name": _name("page_id", "mark"), "of": _name("first.page_id", "first.mark")})
+    first = rows.groupBy(F.col("equal").alias("_equal")).agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "mark")).alias("first"))
+    # The second key says nothing new.  It makes both sides be dealt out afresh: only such exchanges can be split where a payload
+    # stands in very many pages, while the grouping's own partitioning would be reused as it is.
+    same = (F.col("equal") == F.col("_equal")) & (F.length("equal") == F.length("_equal"))
+    joined = rows.join(first, same).withColumns({"name": _name("page_id", "mark"), "of": _name("first.page_id", "first.mark")})
     same = F.col("page_id").eqNullSafe(F.col("first.page_id"))
     return joined.select("name", "url", "html", F.when(~same, F.col("of")).alias("of"))
 
@@ -244,7 +247,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     answers = reassembled(records).select("name", "copies", "digest", F.octet_length("payload").cast("bigint").alias("payload_bytes"))
     responses = answers.select(page(F.col("name")).alias("page_id"), "payload_bytes", bare("digest").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("bigint").alias("refers_to"), F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     known = answers.groupBy("name", "digest").agg(F.first("payload_bytes").alias("payload_bytes")).withColumnsRenamed({"name": "of", "digest": "of_digest"})
-    revisits = records.where("kind = 'revisit'").select("name", "of", "digest").join(known, "of", "left")
+    # As in ``page_table``: two keys, so that the many revisits of one response can be split.
+    known = known.withColumnRenamed("of", "_of")
+    same = (F.col("of") == F.col("_of")) & (F.length("of") == F.length("_of"))
+    revisits = records.where("kind = 'revisit'").select("name", "of", "digest").join(known, same, "left")
     found = F.when(F.col("digest") == F.col("of_digest"), F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("no response for revisit "), "name")).cast("bigint"))
     revisits = revisits.select(page(F.col("name")).alias("page_id"), found.alias("payload_bytes"), bare("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), page(F.col("of")).alias("refers_to"))
     return responses.unionByName(revisits)

@@ -53,6 +53,32 @@ def test_repeated_rows_null_ids_and_empty_tables(spark, tmp_path):
     assert warc.read_pages(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_pages_of_one_payload_are_split(spark):
+    """A third of all pages hold one payload: the join that names their response reads them in parts."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        html = F.when(F.col("id") % 3 == 0, F.lit("error")).otherwise(F.concat(F.lit("page "), "id"))
+        pages = spark.range(9000, numPartitions=8).select(F.col("id").alias("page_id"), F.sha2(F.col("id").cast("string"), 256).alias("url"), html.alias("html"))
+        named = warc.page_table(pages)
+        assert len(named.collect()) == 9000
+        assert "skew=true" in named._jdf.queryExecution().executedPlan().toString()
+        assert named.where("of is not null").count() == 2999
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_lost_or_cut_segments_fail(spark, tmp_path):
     df = spark.createDataFrame([(1, "u", "abc" * 900)], "page_id bigint, url string, html string")
     warc.write_archives(df, str(tmp_path / "a"), segment_bytes=500)
@@ -204,13 +230,13 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in want.description]

@@ -56,6 +56,17 @@ def test_order_of_rules_never_changes_the_verdict(spark, documents):
     assert native(kept)
 
 
+def test_only_base_features_are_worked_out_ahead(spark, documents):
+    docs = documents(*EDGE, *_random_texts(), (900, "GOOD NIGHT " * 60), (902, " ".join(f"Word{i} #" for i in range(80))))
+    judged = quality_rules.judged(docs)
+    assert judged.columns == ["row", *quality_rules.BASE_FEATURES, "rejected_by"]
+    kept = lambda df: {r["row"]["doc_id"] for r in df.where("rejected_by is null").collect()}
+    assert kept(judged) == kept(quality_rules.cascade(docs))
+    # Counting capitals stands in the verdict alone, behind the rules before it.
+    verdict = next(line for line in plan_of(judged).splitlines() if "AS rejected_by" in line)
+    assert "\\p{Lu}" in verdict and verdict.index("CASE WHEN") < verdict.index("\\p{Lu}")
+
+
 def test_rules_come_by_rejections_per_cost(spark, documents):
     never = quality_rules.Rule("never", lambda f: f("n_repeat_words") < 0)
     always = quality_rules.Rule("always", lambda f: f("n_words") >= 0)
