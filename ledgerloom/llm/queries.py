@@ -65,6 +65,14 @@ def op4_warc_segments(spark, sf):
     return warc.read_pages(spark, path)
 
 
+ORACLES["op4_warc_segments"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS m FROM pages),
+d AS (SELECT *, sha1(h) AS x FROM p),
+g AS (SELECT *, list_transform(range(4), lambda i: CAST('0x' || substr(x, CAST(10 * i + 1 AS BIGINT), 10) AS BIGINT)) AS v FROM d)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((v[k // 8 + 1] >> (35 - 5 * (k % 8))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> m THEN m END AS refers_to FROM g"""
+
+
 @query
 def op5_deep_shallow_dedup(spark, sf):
     cleaned = suffix_dedup.without_repeats(_documents(spark, sf))
@@ -132,6 +140,19 @@ def op10_ngram_join(spark, sf):
     return ngram_join.near_duplicate_groups(_documents(spark, sf))
 
 
+ORACLES["op10_ngram_join"] = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE
+    list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+x AS (SELECT doc_id, unnest(s) AS g FROM s),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM x JOIN x y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+l AS (SELECT c.a, c.b FROM c JOIN s t ON c.a = t.doc_id JOIN s u ON c.b = u.doc_id WHERE 100 * c.n >= 80 * (len(t.s) + len(u.s) - c.n)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS m FROM s UNION SELECT e.b, r.m FROM r JOIN e ON r.d = e.a WHERE r.m < e.b)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, q.component_id
+FROM s JOIN (SELECT d, min(m) AS component_id FROM r GROUP BY d) q ON s.doc_id = q.d"""
+
+
 @query
 def op11_walsh_vector_codes(spark, sf):
     return vector_codes.compressed(spark.read.parquet(f"{sf}/embeddings.parquet"))
