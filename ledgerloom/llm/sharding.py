@@ -20,8 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARDS = 8
-PARTITIONS = 128
-BLOCKS = 16
+#: Partitions and blocks at least and at most, and the rows that one of them is to hold in between.  The driver holds the
+#: matrix, 4 million numbers at most.
+LEAST_TASKS = 128
+MOST_TASKS = 2048
+TASK_ROWS = 1_000_000
 SEED = 9
 #: numpy draws hypergeometric counts below 10**9 rows; above this the law is summed up around its mode.
 REGION_ROWS = 500_000_000
@@ -32,6 +35,11 @@ def split_evenly(total: int, parts: int) -> np.ndarray:
     return np.full(parts, total // parts, np.int64) + (np.arange(parts) < total % parts)
 
 
+def task_count(rows: int) -> int:
+    """Tasks of ``TASK_ROWS`` rows, within bounds."""
+    return min(MOST_TASKS, max(LEAST_TASKS, -(-rows // TASK_ROWS)))
+
+
 def draw_of_many(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
     """A hypergeometric count for any total: the law's ratios summed over 12 deviations on both sides of the mode."""
     least, most, total = max(0, drawn - bad), min(good, drawn), good + bad
@@ -79,8 +87,8 @@ def shuffle_into_shards(
     key: str = "doc_id",
     text: str = "text",
     shards: int = SHARDS,
-    partitions: int = PARTITIONS,
-    blocks: int = BLOCKS,
+    partitions: int | None = None,
+    blocks: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """``row`` (all columns of a document), ``shard`` and ``slot``; shard sizes are at most one apart.
@@ -88,9 +96,11 @@ def shuffle_into_shards(
     Slots of a shard count from 0 without a gap.  Null keys and texts, empty texts and
     repeated rows are rows like any other; the columns of ``docs`` sit in one struct, so
     no name can clash.  An empty table gives an empty result.  The same rows and seed give
-    the same result, up to rows with equal key and text.  The driver holds
-    ``partitions * shards * blocks`` counts, whatever the size of the table.
+    the same result, up to rows with equal key and text.  Unless given, ``partitions`` and the blocks of all
+    shards follow the number of rows (:func:`task_count`).  The driver holds ``partitions * shards * blocks`` counts.
     """
+    tasks = task_count(docs.count()) if partitions is None or blocks is None else 0
+    partitions, blocks = partitions or tasks, blocks or -(-tasks // shards)
     mark = [F.lit(seed), F.col(f"row.`{key}`"), F.xxhash64(F.col(f"row.`{text}`"))]
     rows = (
         docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

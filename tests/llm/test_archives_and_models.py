@@ -228,6 +228,16 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
         assert docs.count() == 0
 
 
+def test_tasks_follow_the_rows():
+    assert [sharding.task_count(n) for n in (0, 10**6, 128 * 10**6, 128 * 10**6 + 1, 10**9, 10**12)] == [128, 128, 128, 129, 1000, 2048]
+
+
+def test_long_bags_are_thinned_evenly():
+    assert mil_classifier._spaced(5, 9).tolist() == [5, 6, 7, 8]
+    picked = mil_classifier._spaced(10, 100_010)
+    assert len(set(picked.tolist())) == mil_classifier.FIT_PASSAGES and picked[0] == 10 and picked[-1] == 100_009
+
+
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14))
