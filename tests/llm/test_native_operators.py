@@ -1,6 +1,7 @@
 """Quality rules, mixing, fingerprints: results against plain Python, edge rows, no Python in the plans."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -67,6 +68,30 @@ def test_only_base_features_are_worked_out_ahead(spark, documents):
     assert "\\p{Lu}" in verdict and verdict.index("CASE WHEN") < verdict.index("\\p{Lu}")
 
 
+def test_copies_equal_a_running_sum(spark, documents):
+    """Expected copies added up along each source in plain Python, one copy per whole number crossed."""
+    rng = random.Random(12)
+    pairs = [(i, " ".join("w" * rng.choice([0, 1, 2, 30, 400]) for _ in range(rng.choice([1, 5, 300])))) for i in range(400)]
+    docs = documents(*pairs, sources={i: rng.choice(["a", "a", "a", "b", "é", None]) for i, _ in pairs})
+    seed, splits = mixing.SEED, mixing.SPLITS
+    marks = docs.select(
+        "doc_id",
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(splits)).alias("split"),
+        F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), F.lit(1 << 20)).alias("offset"),
+    )
+    drawn = {r.doc_id: (r.split, r.offset / (1 << 20)) for r in marks.collect()}
+    by_source = {}
+    for r in mixing.mix(docs).collect():
+        by_source.setdefault(r["row"]["source"], []).append(r)
+    for rows in by_source.values():
+        step = rows[0].target / rows[0].source_size
+        rows.sort(key=lambda r: (math.floor(math.log2(r.size + 1) * 8), drawn[r["row"]["doc_id"]][0], r.size, r["row"]["doc_id"]))
+        offset = drawn[rows[0]["row"]["doc_id"]][1]
+        assert len({drawn[r["row"]["doc_id"]][1] for r in rows}) == 1
+        crossed = [math.floor(step * k + offset) - math.floor(step * (k - 1) + offset) for k in range(1, len(rows) + 1)]
+        assert [r.copies for r in rows] == [min(c, math.ceil(step)) for c in crossed]
+
+
 def test_rules_come_by_rejections_per_cost(spark, documents):
     never = quality_rules.Rule("never", lambda f: f("n_repeat_words") < 0)
     always = quality_rules.Rule("always", lambda f: f("n_words") >= 0)

@@ -330,6 +330,55 @@ def test_neighbours_share_windows():
     assert sum(len(t) == 1 for t in topics.values()) >= len(topics) - 2
 
 
+def _plain_pack(docs, idf, mean, window, end):
+    """Packing of one shard with every score worked out by the formula."""
+    pieces, rest, used, sequence = [], [0] * len(docs), [False] * len(docs), 0
+    for i, ids in enumerate(docs):
+        while len(ids) - rest[i] >= window:
+            pieces.append((i, rest[i], window, sequence, 0))
+            rest[i], sequence = rest[i] + window, sequence + 1
+        used[i] = rest[i] == len(ids)
+
+    def score(seed, doc):
+        total = 0.0
+        for t in sorted(set(docs[seed].tolist()) - {end}):
+            f = int((docs[doc] == t).sum())
+            if f and idf[t] > 0:
+                total += idf[t] * f * (packing.K1 + 1) / (f + packing.K1 * (1 - packing.B + packing.B * len(docs[doc]) / mean))
+        return total
+
+    seed = None
+    while seed is not None or not all(used):
+        seed = used.index(False) if seed is None else seed
+        used[seed] = True
+        near = [(-score(seed, d), d) for d in range(len(docs)) if not used[d]]
+        queue, seed, filled = [seed, *[d for s, d in sorted(near) if s < 0]], None, 0
+        while filled < window:
+            if not queue:
+                if all(used):
+                    break
+                queue.append(used.index(False))
+            doc = queue.pop(0)
+            used[doc] = True
+            length = min(window - filled, len(docs[doc]) - rest[doc])
+            pieces.append((doc, rest[doc], length, sequence, filled))
+            rest[doc], filled = rest[doc] + length, filled + length
+            seed = doc if rest[doc] < len(docs[doc]) else None
+        sequence += 1
+    return pieces
+
+
+def test_packing_a_shard_equals_scoring_all_documents():
+    rng = np.random.default_rng(4)
+    for window in (64, 300):
+        docs = [np.append(rng.integers(2, 80, rng.choice([0, 3, 20, 90, 700])), 1).astype(np.uint16) for _ in range(50)]
+        docs += [docs[3], docs[9]]
+        idf = np.zeros(1 << 16)
+        idf[2:80] = np.maximum(0, rng.normal(1, 1, 78))
+        got = packing.pack_shard(docs, idf, 60.0, window=window, end=1)
+        assert [tuple(map(int, p)) for p in got] == _plain_pack(docs, idf, 60.0, window, 1)
+
+
 def test_bm25_scores_equal_the_formula():
     rng = np.random.default_rng(2)
     docs = [rng.integers(0, 30, rng.integers(1, 60)).astype(np.uint16) for _ in range(20)]
