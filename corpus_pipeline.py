@@ -2,6 +2,11 @@
 
 All stages but the last keep the columns of ``documents``.  Each is written as Parquet and read
 again as the next one's input, which also cuts the lineage for lost executors.
+
+Rows without words (null, empty and blank texts among them) fall to the quality rules.  Repeated rows and
+rows with equal or null ids are documents of their own; near duplicates are told apart by their texts.
+Very long texts pass whole.  Extra columns travel along up to the last stage, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from ledgerloom.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
+    """Documents that a quality rule rejects go; a text without words is rejected."""
     return quality_rules.passing(docs)
 
 
@@ -23,17 +28,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind."""
+    """Personal data is replaced by its kind; null and empty texts stay as they are."""
     return pii.mask(docs, pii.fit(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources to their target weights: a document stands as often as the mix takes it."""
+    """Sources to their target weights: a document stands as often as the mix takes it; a null source is one of its own."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of related documents, as pieces with token ids."""
+    """Sequences of related documents, as pieces with token ids; a text without tokens is its end mark alone."""
     return packing.pack(docs)
 
 

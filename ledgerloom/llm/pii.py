@@ -404,7 +404,11 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced, ``n_chars`` brought up to date where there is such a column; null texts stay null."""
+    """``docs`` with personal data in ``text`` replaced, ``n_chars`` brought up to date where there is such a column.
+
+    Null texts stay null, empty ones empty; texts are read whole, however long.  Repeated rows are replaced alike, an empty table gives an
+    empty one.  All other columns stay as they are, whatever their names.
+    """
     names = docs.columns
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

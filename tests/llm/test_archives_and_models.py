@@ -228,6 +228,11 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
         assert docs.count() == 0
 
 
+def test_the_pipeline_runs_on_an_empty_table(spark, tmp_path):
+    spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 0").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_tasks_follow_the_rows():
     assert [sharding.task_count(n) for n in (0, 10**6, 128 * 10**6, 128 * 10**6 + 1, 10**9, 10**12)] == [128, 128, 128, 129, 1000, 2048]
 
