@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.memory import lean, release
-from ledgerloom.llm.tokens import WordTokenizer, default_tokenizer
+from ledgerloom.llm.tokens import default_tokenizer, shared_tokenizer
 from ledgerloom.session import scratch_path
 
 WINDOW = 2048
@@ -33,7 +33,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     """``doc_id, ids, n`` per document (two-byte ids with the end mark), and one row per task with ``found``: in how many of its documents each token stands."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = shared_tokenizer(tokenizer)
         found = np.zeros(max(words.size, end + 1), np.int64)
         tail = np.array([end], "<u2")
         names = ["doc_id", "ids", "n", "found"]
@@ -46,7 +46,6 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
                     found[seen[-1]] += 1
                 columns = [batch.column("doc_id").slice(a, len(ids)), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.nulls(len(ids), pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, names)
-        del words
         release()
         counts = pa.array([found.tolist()], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.nulls(1, docs_id), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), counts], names)

@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.memory import release
-from ledgerloom.llm.tokens import WordTokenizer, default_tokenizer
+from ledgerloom.llm.tokens import default_tokenizer, shared_tokenizer
 
 END = 2
 BLOCK = 1024
 LANES = BLOCK // 64
 #: The width of a block is what so many of its differences, in a hundred, fit in.
 PERCENTILE = 95
+#: Blocks packed at a time.
+TOGETHER = 512
 BLOCK_HEAD = np.dtype([("least", "<u4"), ("count", "<u2"), ("outliers", "<u2"), ("width", "u1")])
 MAGIC = b"PFORTOK1"
 TAIL = np.dtype([("part", "<u4"), ("section", "<u4"), ("blocks", "<u8"), ("documents", "<u8"), ("ids", "<u8"), ("index", "<u8"), ("magic", "S8")])
@@ -77,16 +79,22 @@ def unpack(words: np.ndarray, width: int) -> np.ndarray:
 
 def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Blocks of a run of ids, the start of each block in the bytes, and its first id's place in the run."""
+    pieces = [p for a in range(0, len(ids), TOGETHER * BLOCK) for p in _blocks(ids[a : a + TOGETHER * BLOCK])]
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])[:-1]
+    return b"".join(pieces), starts.astype(np.int64), np.arange(len(pieces), dtype=np.int64) * BLOCK
+
+
+def _blocks(ids: np.ndarray) -> list[bytes]:
     blocks = -(-len(ids) // BLOCK)
     count = np.full(blocks, BLOCK, np.int64)
     count[blocks - 1 :] = len(ids) - BLOCK * (blocks - 1)
-    filled = np.full(blocks * BLOCK, ids[-1] if len(ids) else 0, np.uint32)
+    filled = np.full(blocks * BLOCK, ids[-1], np.uint32)
     filled[: len(ids)] = ids
     grid = filled.reshape(blocks, BLOCK)
-    least = grid.min(1) if blocks else np.zeros(0, np.uint32)
+    least = grid.min(1)
     grid = grid - least[:, None]
     at = -(-BLOCK * PERCENTILE // 100) - 1
-    width = bit_width(np.partition(grid, at, axis=1)[:, at]) if blocks else np.zeros(0, int)
+    width = bit_width(np.partition(grid, at, axis=1)[:, at])
     over = (grid >> np.minimum(width, 31).astype(np.uint32)[:, None]) != 0
     over &= (width < 32)[:, None]
     over &= np.arange(BLOCK) < count[:, None]
@@ -103,12 +111,10 @@ def encode_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
             packed[b] = raw[k * size : (k + 1) * size]
     heads, places, values = head.tobytes(), place.astype("<u2").tobytes(), grid[row, place].astype("<u4").tobytes()
     cut, step = np.concatenate([[0], np.cumsum(patches)]).tolist(), BLOCK_HEAD.itemsize
-    pieces = [
+    return [
         heads[b * step : (b + 1) * step] + packed[b] + places[2 * cut[b] : 2 * cut[b + 1]] + values[4 * cut[b] : 4 * cut[b + 1]]
         for b in range(blocks)
     ]
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])[:-1]
-    return b"".join(pieces), starts.astype(np.int64), np.arange(blocks, dtype=np.int64) * BLOCK
 
 
 def _gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -199,7 +205,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     name = tokenizer or default_tokenizer()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tail = WordTokenizer(name), np.array([end], np.uint32)
+        words, tail = shared_tokenizer(name), np.array([end], np.uint32)
         section = _Section(TaskContext.get().partitionId(), 0)
         row = lambda data: pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["value"])
         for batch in batches:
@@ -208,10 +214,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
                 if section.runs == RUNS:
                     yield row(section.index())
                     section = _Section(section.part, section.number + 1)
+            release()
         if section.runs:
             # A file has RUNS + 1 rows, but for a task's last one.
             yield row(section.index())
-        del words
         release()
 
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

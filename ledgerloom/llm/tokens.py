@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import string
 from collections.abc import Iterator
@@ -13,7 +14,7 @@ import pyarrow.compute as pc
 from ledgerloom.llm import rolling
 
 #: Units a task remembers before it forgets those that the last texts did not hold, some 40 bytes each.
-CACHED_WORDS = 240_000
+CACHED_WORDS = 500_000
 #: New units of letters encoded at a time.
 TOGETHER = 1000
 #: Bytes of text whose words are told apart at a time.
@@ -40,6 +41,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@functools.lru_cache(maxsize=1)
+def shared_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of a worker, which goes on with the words that earlier tasks met."""
+    return WordTokenizer(path)
+
+
 class WordTokenizer:
     """Ids of a tokenizer that never joins text across white space.
 
@@ -112,9 +119,10 @@ class WordTokenizer:
             if len(self.words) + len(new) > CACHED_WORDS:  # words still in use stay, the others go
                 used = place.drop_null().unique()
                 self._remember(self.words.take(used), self.ids.take(used))
+                place = pc.index_in(words, self.words)
             new, ids = self._learned(new)
+            place = pc.coalesce(place, pc.add(pc.index_in(words, new), pa.scalar(len(self.words), pa.int32())))
             self._remember(pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids]))
-            place = pc.index_in(words, self.words)
         return self.ids.take(place)
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
