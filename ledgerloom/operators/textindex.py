@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import edit_similarity
+from ledgerloom.session import set_for
 
 GRAM = 3
 BUCKETS = 64
+#: Bytes of shuffled runs that a task writes, about ten times that in its memory.
+WRITE_BYTES = 16 << 20
 #: Rows scored first, as a multiple of the places asked for.
 FIRST_LOOK = 4
 
@@ -37,20 +40,43 @@ def _bucket(gram: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
 
 
+def counted_grams(text: Column, q: int = GRAM) -> Column:
+    """The different runs of a text with their counts, as ``gram, n``; null for a null text.
+
+    Equal runs stand together in the sorted list of all runs, so a text is counted by itself: no row waits for others.
+    """
+
+    def firsts(every: Column) -> Column:
+        placed = F.transform(every, lambda gram, i: F.struct(gram.alias("gram"), i.alias("at")))
+        return F.filter(placed, lambda x: ~x["gram"].eqNullSafe(F.get(every, x["at"] - 1)))
+
+    def counts(every: Column, first: Column) -> Column:
+        end = lambda j: F.coalesce(F.get(first, j + 1)["at"], F.size(every))
+        return F.transform(first, lambda x, j: F.struct(x["gram"].alias("gram"), (end(j) - x["at"]).alias("n")))
+
+    # A list of one, so that what it holds is worked out once however often it is used.
+    nested = F.transform(F.array(F.sort_array(grams(text, q))), lambda every: F.get(F.transform(F.array(firsts(every)), lambda first: counts(every, first)), 0))
+    return F.get(nested, 0)
+
+
 def store_gram_index(df: DataFrame, text: str, path: str, q: int = GRAM, buckets: int = BUCKETS) -> None:
     """Rows of ``df`` in order of text length below ``path/rows``, their runs with counts below ``path/grams``.
 
     Rows get an id when they are stored, and the runs are taken from the stored rows.  Runs are dealt to directories by a hash, so
     a lookup opens the directories of its own runs only; a frequent run is written by several tasks.  Null texts have a
     null length and no runs.
+
+    Runs shrink about tenfold in a shuffle, and a task that writes them sorts its part by directory: the parts are
+    kept to ``WRITE_BYTES`` of the shuffle.  With a shuffle partition per directory, no task sorts on the way there.
     """
     length = F.length(text)
     ordered = df.withColumn("_length", length).repartitionByRange("_length", F.monotonically_increasing_id())
     ordered.sortWithinPartitions("_length").withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{path}/rows")
     rows = df.sparkSession.read.parquet(f"{path}/rows")
-    counted = rows.select("_row", F.explode(grams(F.col(text), q)).alias("gram")).groupBy("_row", "gram").agg(F.count("*").cast("int").alias("n"))
-    dealt = counted.withColumn("bucket", _bucket(F.col("gram"), buckets)).hint("rebalance", "bucket")
-    dealt.write.partitionBy("bucket").option("maxRecordsPerFile", 50_000_000).parquet(f"{path}/grams")
+    counted = rows.select("_row", F.inline(counted_grams(F.col(text), q)))
+    dealt = counted.withColumn("bucket", _bucket(F.col("gram"), buckets)).hint("rebalance", buckets, "bucket")
+    with set_for(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(WRITE_BYTES)}):
+        dealt.write.partitionBy("bucket").option("maxRecordsPerFile", 50_000_000).parquet(f"{path}/grams")
 
 
 class GramIndex:

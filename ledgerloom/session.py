@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def set_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the actions inside the block; afterwards they are as before."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_folder(master: str, checkpoint_dir: str | None, warehouse_dir: str) -> str:
     """A folder that driver and executors share.
 

@@ -1,11 +1,13 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import textindex, textmatch
+from ledgerloom.session import set_for
 from tests.conftest import plan_of
 
 RECORDS = [
@@ -130,3 +132,26 @@ def test_lookup_in_an_empty_index(spark, tmp_path):
     index = textindex.GramIndex(spark, str(tmp_path / "i"), "t")
     assert index.closest("question", 3).count() == 0
     assert [tuple(r) for r in index.effort(["question"]).collect()] == [("question", 0, 0)]
+
+
+def test_runs_are_counted_inside_each_row(spark, rows):
+    texts = [*_near_texts(), "aaaa\U0001f600aaaa", "abcabcab", "\n\n\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    counted = df.select("n", F.inline(textindex.counted_grams(F.col("t")))).toDF("row", "gram", "times")
+    assert not re.search("Aggregate|Exchange|Sort", plan_of(counted))
+    want = Counter(tuple(r) for r in df.select("n", F.explode(textindex.grams(F.col("t")))).collect())
+    assert rows(counted) == sorted(((*key, n) for key, n in want.items()), key=repr)
+
+
+def test_a_task_writes_a_bounded_part_of_the_index(spark, tmp_path, monkeypatch):
+    """Runs of one directory are written by as many tasks as their bytes ask for."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(textindex, "WRITE_BYTES", 4096)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(100, 900))) for _ in range(400)]
+    with set_for(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        df, index = _indexed(spark, tmp_path / "i", texts, buckets=1)
+    assert len(list((tmp_path / "i" / "grams" / "bucket=0").glob("*.parquet"))) > 1
+    assert index.grams.agg(F.sum("n")).first()[0] == sum(len(t) - 2 for t in texts)
+    assert spark.conf.get(name) == before
