@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.memory import lean, release
 from ledgerloom.llm.tokens import default_tokenizer, shared_tokenizer
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, set_for
 
 WINDOW = 2048
 END = 1
 SHARD_TOKENS = 600_000
 K1, B = 1.2, 0.75
 SHARD_BITS = 32
+#: Bytes of the batches that the tokenizer reads; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
@@ -151,7 +153,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, en
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
-    tokenized(docs, tokenizer or default_tokenizer(), end).write.option("compression", "zstd").parquet(path)
+    # By rows alone a batch grows with the length of the texts, and its worker with it.
+    with set_for(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        tokenized(docs, tokenizer or default_tokenizer(), end).write.option("compression", "zstd").parquet(path)
     table = spark.read.schema("doc_id bigint, ids binary, n bigint, found array<bigint>").parquet(path)
     counts = table.where("found is not null").select(F.posexplode("found").alias("term", "docs")).groupBy("term").agg(F.sum("docs").alias("docs"))
     found = {r.term: r.docs for r in counts.where("docs > 0").collect()}  # one row per token of the vocabulary at most

@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -393,5 +394,32 @@ def test_bm25_scores_equal_the_formula():
         assert got[i] == pytest.approx(want)
 
 
+def test_the_tokenizer_reads_small_batches(spark, documents, monkeypatch, tmp_path):
+    """Whatever the texts' lengths: 200 texts of 1,000 characters are no batch of 200,000 bytes."""
+    real, name, folder = packing.shared_tokenizer, "spark.sql.execution.arrow.maxBytesPerBatch", str(tmp_path)
+
+    def watched(path):
+        words = real(path)
+
+        class Watched:
+            size = words.size
+
+            def encode(self, column):
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                    f.write(str(column.nbytes))
+                yield from words.encode(column)
+
+        return Watched()
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(packing, "shared_tokenizer", watched)
+    monkeypatch.setattr(packing, "BATCH_BYTES", 10_000)
+    docs = documents(*[(i, f"w{i} abcdefg " * 100) for i in range(200)]).coalesce(1)
+    assert packing.pack(docs).select("doc_id").distinct().count() == 200
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert len(sizes) > 15 and max(sizes) < 15_000
+    assert spark.conf.get(name) == before
+
+
 def test_packing_an_empty_table(spark, documents):
     assert packing.pack(documents((1, "x")).where("doc_id < 0")).count() == 0
