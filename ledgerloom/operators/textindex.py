@@ -18,7 +18,7 @@ from ledgerloom.session import set_for
 
 GRAM = 3
 BUCKETS = 64
-#: Bytes of shuffled runs that a task writes, about ten times that in its memory.
+#: Bytes of shuffled runs that a task should write, about ten times that in its memory.
 WRITE_BYTES = 16 << 20
 #: Rows scored first, as a multiple of the places asked for.
 FIRST_LOOK = 4
@@ -67,7 +67,8 @@ def store_gram_index(df: DataFrame, text: str, path: str, q: int = GRAM, buckets
     null length and no runs.
 
     Runs shrink about tenfold in a shuffle, and a task that writes them sorts its part by directory: the parts are
-    kept to ``WRITE_BYTES`` of the shuffle.  With a shuffle partition per directory, no task sorts on the way there.
+    cut near ``WRITE_BYTES`` of the shuffle, but never inside what one task sends to a shuffle partition.  With as many
+    shuffle partitions as directories, no task sorts on the way there.
     """
     length = F.length(text)
     ordered = df.withColumn("_length", length).repartitionByRange("_length", F.monotonically_increasing_id())
